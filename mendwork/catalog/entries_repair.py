@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
+from mendwork.functions.durable import durable
 from mendwork.operators import actors, backfill, harness, labels, unopened
 
 NOW = "2002-01-01"
@@ -122,7 +123,8 @@ def _resolution(v: Views) -> DataFrame:
 
 
 def _linked(v: Views) -> tuple[DataFrame, DataFrame]:
-    return labels.ensure_actor_names(_resolution(v), _text_names(v), NOW)
+    names, resolution = labels.ensure_actor_names(_resolution(v), _text_names(v), NOW)
+    return names, durable(resolution)
 
 
 def l1_resolve_existing(v: Views) -> DataFrame:
@@ -146,20 +148,18 @@ def l4_ensure_actor_names(v: Views) -> DataFrame:
 
 
 def _candidates(v: Views) -> DataFrame:
-    names, resolution = _linked(v)
-    return labels.label_candidates(v.staging_label, v.context, resolution, v.context_label)
+    _, resolution = _linked(v)
+    return durable(labels.label_candidates(v.staging_label, v.context, resolution, v.context_label))
 
 
 # New ActorName ids are hashes; the checks compare which actor and name they stand for.
 def l5_label_candidates(v: Views) -> DataFrame:
-    names, resolution = _linked(v)
-    found = labels.label_candidates(v.staging_label, v.context, resolution, v.context_label)
-    return found.select("entity_id", "label_id", "source_ts", "label_name")
+    return _candidates(v).select("entity_id", "label_id", "source_ts", "label_name")
 
 
 def l6_label_left_behind(v: Views) -> DataFrame:
-    names, resolution = _linked(v)
-    found = labels.label_candidates(v.staging_label, v.context, resolution, v.context_label)
+    _, resolution = _linked(v)
+    found = durable(labels.label_candidates(v.staging_label, v.context, resolution, v.context_label))
     return labels.label_left_behind(v.staging_label, v.context, resolution, found)
 
 
@@ -182,7 +182,8 @@ def _empty_logs(v: Views) -> tuple[DataFrame, DataFrame]:
 def _applied(v: Views) -> tuple[DataFrame, labels.LabelChanges]:
     logs, people = _empty_logs(v)
     found = _candidates(v)
-    return found, labels.apply_labels(found, v.context_label, logs, people)
+    done = labels.apply_labels(found, v.context_label, logs, people)
+    return found, done._replace(labels=durable(done.labels), logs=durable(done.logs), actors=durable(done.actors))
 
 
 def l7_apply_labels(v: Views) -> DataFrame:
@@ -229,7 +230,8 @@ _ELIGIBLE = f"""SELECT * FROM ({_CANDIDATES}) k WHERE NOT (label_id = 3 AND EXIS
 
 
 def _actor_resolution(v: Views) -> tuple[DataFrame, DataFrame]:
-    return actors.resolve_actor_names(v.staging_actor, _text_names(v))
+    resolution, new_rows = actors.resolve_actor_names(v.staging_actor, _text_names(v))
+    return durable(resolution), new_rows
 
 
 def _text_names(v: Views) -> DataFrame:
@@ -288,6 +290,7 @@ def _actor_run(v: Views) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     resolution, new_rows = _actor_resolution(v)
     found = actors.actor_candidates(v.staging_actor, v.activity, _text_actors(v), resolution)
     names = _text_names(v).unionByName(new_rows)
+    found = durable(found)
     new_actors, touched = actors.repoint_actors(_text_actors(v), found)
     marked = found.join(touched.withColumn("_hit", F.lit(True)), "entity_id", "left").select(
         "entity_id",
@@ -690,7 +693,7 @@ ENTRIES = {
     ),
     "a9_remap_entities": (
         a9_remap_entities,
-        f"""SELECT a.id, coalesce({_CANONICAL}, n.actor_id) AS actor_id, n.name
+        f"""SELECT a.id, CASE WHEN b.id IS NOT NULL THEN {_CANONICAL} ELSE n.actor_id END AS actor_id, n.name
             FROM actor a LEFT JOIN actor_name n ON n.id = a.actor_name_entity_id LEFT JOIN {_BAD} b ON b.id = n.id""",
     ),
     "a9_remap_names": (

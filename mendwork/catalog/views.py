@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mendwork.functions.durable import durable
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -218,6 +220,9 @@ VIEWS: dict[str, str] = {
         FROM events""",
 }
 
+# Views that a whole repair reads several times: derived once, written, and read back as the tables they stand for.
+STORED = ("staging_label", "staging_actor", "actor_name", "activity", "actor", "context_label", "party_service")
+
 _NAME = re.compile(r"\b[a-z_]+\b")
 
 
@@ -251,6 +256,7 @@ class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._sf_dir = sf_dir
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
@@ -263,6 +269,10 @@ class Views:
         return self.spark.sql(text)
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name in STORED:
+            if name not in self._stored:
+                self._stored[name] = durable(self.sql(f"SELECT * FROM {name}"))
+            return self._stored[name]
         if name in VIEWS:
             return self.sql(f"SELECT * FROM {name}")
         if name in BASE_TABLES:

@@ -26,6 +26,7 @@ from mendwork.constants import (
     Urns,
 )
 from mendwork.functions.columns import Moment, canonical_organization, has_prefix, moment, reorder_name, urn_parts, uuid7
+from mendwork.functions.durable import durable
 from mendwork.functions.ranking import add_position
 from mendwork.operators.harness import apply_update, check
 
@@ -376,7 +377,7 @@ def remap_plan(
     )
     uses = (
         actors.select(F.col("actor_name_entity_id").alias("bad_id"), "activity_id")
-        .join(bad.select("bad_id"), "bad_id", "left_semi")
+        .join(bad.select("bad_id"), "bad_id")
         .join(activities.select(F.col("id").alias("activity_id"), "created_at"), "activity_id")
         .groupBy("bad_id")
         .agg(F.min("created_at").alias("_used"))
@@ -413,6 +414,8 @@ def remap_entities(
     Fails before producing anything if some malformed row maps to no, or to more than one, canonical row.
     """
     remap, created = remap_plan(actor_names, actors, activities, now, urns)
+    # Both are read several times below and must stay what the assertion saw.
+    remap, created = durable(remap), durable(created)
     wrong = remap.groupBy("bad_id").agg(F.count("good_id").alias("n")).where(F.col("n") != 1).count()
     if wrong:
         raise RemapError(f"{wrong} malformed rows do not map to exactly one canonical row")

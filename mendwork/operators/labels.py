@@ -46,7 +46,7 @@ def resolve_existing(staging: DataFrame, actor_names: DataFrame) -> DataFrame:
     seeds = staging.select("actor_id").distinct()
     newest = (
         actor_names.where(F.col("name").isNotNull())
-        .join(seeds, "actor_id", "left_semi")
+        .join(seeds, "actor_id")
         .groupBy("actor_id")
         .agg(F.max(F.struct("created_at", "id", "name")).alias("_n"))
         .select("actor_id", F.col("_n.name").alias("name"), F.col("_n.id").alias("actor_name_entity_id"))
@@ -132,7 +132,7 @@ def _passes_guard(rows: DataFrame, labels: DataFrame, context: str = "entity_id"
     One pass over the context's label set instead of two anti joins.
     """
     have = (
-        labels.join(rows.select(F.col(context).alias("context_id")).distinct(), "context_id", "left_semi")
+        labels.join(rows.select(F.col(context).alias("context_id")).distinct(), "context_id")
         .groupBy(F.col("context_id").alias(context))
         .agg(F.collect_set("label_id").alias("_have"))
     )

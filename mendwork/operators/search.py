@@ -157,7 +157,7 @@ def dialog_labels(
     )
     wanted = with_context.select("context_id").distinct()
     label_sets = (
-        labels.join(wanted, "context_id", "left_semi")
+        labels.join(wanted, "context_id")
         .groupBy("context_id")
         .agg(F.sort_array(F.collect_list("label_id")).alias("labels"))
     )

@@ -35,7 +35,10 @@ def _rows(rows, order):
 
 def compare(df, con, sql: str) -> list[str]:
     """Differences between a DataFrame and a query; empty when equal."""
+    start = time.perf_counter()
     rel = con.sql(sql)
+    other_rows = rel.fetchall()
+    compare.duck_seconds = time.perf_counter() - start
     names, types = rel.columns, [str(t) for t in rel.types]
     problems = []
     if sorted(df.columns) != sorted(names):
@@ -46,7 +49,7 @@ def compare(df, con, sql: str) -> list[str]:
             problems.append(f"type {c}: {t} != {by_name[c]}")
     cols = sorted(names)
     mine = _rows(df.collect(), [df.columns.index(c) for c in cols])
-    other = _rows(rel.fetchall(), [names.index(c) for c in cols])
+    other = _rows(other_rows, [names.index(c) for c in cols])
     if len(mine) != len(other):
         problems.append(f"rows {len(mine)} != {len(other)}")
     if mine != other:
@@ -78,7 +81,7 @@ def main(argv: list[str]) -> int:
             problems = [f"{type(exc).__name__}: {str(exc)[:1500]}"]
         bad += bool(problems)
         kind = "D" if name in oracle else "R"
-        print(f"{'BAD' if problems else 'ok '} {kind} {name} {time.perf_counter() - start:.2f}s", *problems, sep="\n      " if problems else " ", flush=True)
+        print(f"{'BAD' if problems else 'ok '} {kind} {name} {time.perf_counter() - start:.2f}s (check {getattr(compare, 'duck_seconds', 0):.2f}s)", *problems, sep="\n      " if problems else " ", flush=True)
     print(f"{bad} bad")
     return bad
 
