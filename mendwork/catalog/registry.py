@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mendwork.catalog import entries_repair, entries_search, entries_workload
+from mendwork.catalog import entries_analytics, entries_repair, entries_search, entries_workload
 from mendwork.catalog.views import Views, with_views
 
-_MODULES = (entries_search, entries_repair, entries_workload)
+_MODULES = (entries_search, entries_repair, entries_workload, entries_analytics)
 
 
 def _entries() -> dict[str, tuple[Callable[[Views], DataFrame], str | None]]:

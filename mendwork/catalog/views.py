@@ -190,7 +190,7 @@ VIEWS: dict[str, str] = {
                concat('Limit:1|Node', CAST(user_id % 12 AS VARCHAR(9)), ':', CAST(event_id % 3 + 1 AS VARCHAR(9))) AS node_types
         FROM events""",
     "plan_line": """
-        SELECT concat('log_', event_type) AS file, CAST(floor(event_id / 1000) AS BIGINT) AS chunk, event_id AS at,
+        SELECT concat('log_', event_type) AS file, CAST(floor(event_id / 1000) AS BIGINT) AS chunk, event_id AS pos,
                event_id AS line_no,
                CASE event_id % 10
                  WHEN 0 THEN concat('EXPLAIN sql/variant_', event_type, '.sql cases/case_', CAST(user_id AS VARCHAR(20)), '.json')
@@ -213,7 +213,7 @@ VIEWS: dict[str, str] = {
                       ',"Shared Read Blocks":', CAST(event_id % 5 AS VARCHAR(20)),
                       ',"Plans":[{"Node Type":"Nested Loop","Rows Removed by Join Filter":', CAST(event_id % 6 AS VARCHAR(20)),
                       ',"Plans":[{"Node Type":"Index Scan","Index Name":"IX_', CAST(user_id % 9 AS VARCHAR(9)),
-                      '","Relation Name":"Dialog","Filter":"(x = ''\\"Node Type\\":\\"Decoy\\"'')","Rows Removed by Filter":',
+                      '","Relation Name":"Dialog","Filter":"(x = ', chr(92), '"Node Type', chr(92), '":', chr(92), '"Decoy', chr(92), '")","Rows Removed by Filter":',
                       CAST(event_id % 4 AS VARCHAR(20)), '},{"Node Type":"Index Scan","Index Name":"IX_',
                       CAST(event_id % 3 AS VARCHAR(9)), '"}]}]},"Planning Time":1.25,"Execution Time":',
                       CAST(user_id AS VARCHAR(20)), '.5}]') AS plan

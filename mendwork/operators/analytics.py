@@ -368,7 +368,7 @@ SUMMARY_METRICS = (("exec", "exec_ms"), ("read", "shared_read"), ("hit", "shared
 SUMMARY_PERCENTILES = (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
 
 
-def _case_summary(runs: DataFrame, keys: list[str], meta: Sequence[str]) -> DataFrame:
+def _case_summary(runs: DataFrame, keys: list[str], meta: Sequence[str], digits: int) -> DataFrame:
     runs = runs.where((F.col("case") != "") & (F.col("variant") != ""))
     base = runs.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in meta],
@@ -397,22 +397,22 @@ def _case_summary(runs: DataFrame, keys: list[str], meta: Sequence[str]) -> Data
         *meta,
         "samples",
         "attempted",
-        F.round(F.col("samples") / F.col("attempted") * 100.0, 2).alias("completion_rate_pct"),
-        *[F.round(c, 4).alias(c) for c in stats],
+        F.round(F.col("samples") * 100.0 / F.col("attempted"), 2).alias("completion_rate_pct"),
+        *[F.round(c, digits).alias(c) for c in stats],
     )
 
 
-def variant_case_summary(runs: DataFrame) -> DataFrame:
+def variant_case_summary(runs: DataFrame, digits: int = 4) -> DataFrame:
     """Per (variant, case): counts, completion, and avg/min/max/p50/p95/p99 (interpolated) of time, reads, hits."""
     meta = [c for c in ("category", "party_count", "service_count") if c in runs.columns]
-    return _case_summary(runs, ["variant", "case"], meta)
+    return _case_summary(runs, ["variant", "case"], meta, digits)
 
 
-def round_summaries(runs: DataFrame) -> DataFrame:
+def round_summaries(runs: DataFrame, digits: int = 4) -> DataFrame:
     """The same per round and over all rounds: ``scope`` is the round number as text, or 'total'."""
     scoped = runs.withColumn("scope", F.explode(F.array(F.col("round").cast("string"), F.lit("total"))))
     meta = [c for c in ("category", "party_count", "service_count") if c in runs.columns]
-    return _case_summary(scoped, ["scope", "variant", "case"], meta)
+    return _case_summary(scoped, ["scope", "variant", "case"], meta, digits)
 
 
 def variant_rollup(summary: DataFrame, by: Sequence[str] = ("variant",)) -> DataFrame:
@@ -432,8 +432,8 @@ def variant_rollup(summary: DataFrame, by: Sequence[str] = ("variant",)) -> Data
     )
 
 
-def run_summary(records: DataFrame) -> DataFrame:
-    """Per sql_id of run records (sql_id, success, execution_time_ms): counts and interpolated times, 2 digits."""
+def run_summary(records: DataFrame, digits: int = 2) -> DataFrame:
+    """Per sql_id of run records (sql_id, success, execution_time_ms): counts and interpolated times, rounded."""
     ok = records.where(F.col("success"))
     counts = records.groupBy("sql_id").agg(
         F.count_if(F.col("success")).alias("count_success"),
@@ -451,7 +451,7 @@ def run_summary(records: DataFrame) -> DataFrame:
     return (
         counts.join(stats, "sql_id", "left")
         .join(ranks, "sql_id", "left")
-        .select("sql_id", "count_success", "count_failures", *[F.round(c, 2).alias(c) for c in times])
+        .select("sql_id", "count_success", "count_failures", *[F.round(c, digits).alias(c) for c in times])
         .orderBy("sql_id")
     )
 
@@ -536,12 +536,13 @@ def plan_names(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFra
         r"\b(?:on|using)\s+([A-Za-z0-9_\.]+)",
         r'"([^"]+)"',
     )
-    found = []
-    for i, pattern in enumerate(patterns):
-        hits = F.regexp_extract_all("line", F.lit(pattern), F.lit(1))
-        hits = F.slice(hits, 1, 1) if i == 0 else hits
-        found.append(F.transform(hits, lambda n, at, i=i: F.struct(F.lit(i).alias("kind"), at.alias("at"), n.alias("name"))))
-    hit = lines.select(*order, F.explode(F.concat(*found)).alias("_h"))
+
+    def found(kind: int) -> Column:
+        hits = F.regexp_extract_all("line", F.lit(patterns[kind]), F.lit(1))
+        hits = F.slice(hits, 1, 1) if kind == 0 else hits
+        return F.transform(hits, lambda n, at: F.struct(F.lit(kind).alias("kind"), at.alias("at"), n.alias("name")))
+
+    hit = lines.select(*order, F.explode(F.concat(*[found(i) for i in range(len(patterns))])).alias("_h"))
     name = F.trim(F.regexp_replace(F.regexp_replace("_h.name", r"^\s+|\s+$", ""), r'^"+|"+$', ""))
     named = hit.select(F.struct(*order, "_h.kind", "_h.at").alias("first"), name.alias("name"))
     is_name = F.col("name").rlike(r"^(IX_|PK_|FK_)") | F.col("name").contains(".") | F.col("name").rlike(r"^\p{Lu}")

@@ -10,13 +10,23 @@ from pyspark.sql import functions as F
 
 # Up to this many batches the audit trail is one file; beyond it, files in batch order.
 ONE_FILE_ROWS = 1_000_000
+# Microseconds are kept; the CSV defaults cut times to milliseconds.
+LOCAL_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+ZONED_TIME = LOCAL_TIME + "XXX"
 
 
 def export_batch_log(log: DataFrame, path: str, key: str = "batch_id") -> None:
     """The batch log as CSV with header, in batch order."""
     ordered = log.orderBy(key)
     few = log.limit(ONE_FILE_ROWS + 1).count() <= ONE_FILE_ROWS
-    (ordered.coalesce(1) if few else ordered).write.mode("overwrite").option("header", True).csv(path)
+    (
+        (ordered.coalesce(1) if few else ordered)
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("timestampFormat", ZONED_TIME)
+        .option("timestampNTZFormat", LOCAL_TIME)
+        .csv(path)
+    )
 
 
 def write_sample_outputs(
