@@ -419,7 +419,7 @@ def _processed(v: Views, n: int | None = None) -> unopened.Processed:
 
 
 def u4_process_candidates(v: Views) -> DataFrame:
-    return _processed(v, 400).candidates.select("dialog_id", "processed_at", "updated_at", "skipped_reason")
+    return _processed(v, 1000).candidates.select("dialog_id", "processed_at", "updated_at", "skipped_reason")
 
 
 def u4_process_all_dialogs(v: Views) -> DataFrame:
@@ -428,16 +428,16 @@ def u4_process_all_dialogs(v: Views) -> DataFrame:
 
 def u5_repair_summary(v: Views) -> DataFrame:
     states = v.sql("SELECT DISTINCT concat('flags_', CAST(year(o_orderdate) AS VARCHAR(9))) AS repair_name FROM orders")
-    return unopened.repair_summary(states, _processed(v, 400).candidates)
+    return unopened.repair_summary(states, _processed(v, 1000).candidates)
 
 
 def u6_verify_unopened(v: Views) -> DataFrame:
     # Checked against the dialogs before the repair, so the repairable ones show.
-    return unopened.verify_unopened(_processed(v, 400).candidates, v.dialog, v.transmission, v.activity)
+    return unopened.verify_unopened(_processed(v, 1000).candidates, v.dialog, v.transmission, v.activity)
 
 
 def u6_first_repairable(v: Views) -> DataFrame:
-    left = unopened.still_repairable(_processed(v, 400).candidates, v.dialog, v.transmission, v.activity)
+    left = unopened.still_repairable(_processed(v).candidates, v.dialog, v.transmission, v.activity)
     return unopened.first_repairable(left, 100)
 
 
@@ -473,15 +473,20 @@ def _per_dialog(rows: str) -> str:
 _U4_ALL = f"""SELECT dialog_id, ts, aid FROM ({_per_dialog(_SCOPED)}) f
     UNION ALL SELECT CASE WHEN o_orderpriority < '2' THEN -o_orderkey ELSE o_orderkey END, o_orderdate, o_orderkey
     FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 1"""
-_U4_DONE = f"""SELECT c.dialog_id, c.ts, c.aid, c.rn <= 400 AS done, d.has_unopened AS flag, f.has_unopened AS computed
-    FROM (SELECT *, row_number() OVER (ORDER BY ts, aid, dialog_id) AS rn FROM ({_U4_ALL}) q) c
-    LEFT JOIN dialog d ON d.id = c.dialog_id LEFT JOIN ({_TRUE_FLAG}) f ON f.dialog_id = c.dialog_id"""
-_U4 = f"""SELECT dialog_id, CASE WHEN done THEN CAST('{NOW}' AS TIMESTAMP) END AS processed_at,
-    CASE WHEN done AND flag AND NOT computed THEN CAST('{NOW}' AS TIMESTAMP) END AS updated_at,
-    CASE WHEN NOT done OR (flag AND NOT computed) THEN NULL WHEN flag IS NULL THEN 'dialog_not_found'
-         WHEN NOT flag THEN 'already_false' WHEN computed THEN 'still_has_unopened_content'
-         ELSE 'not_updated_unknown' END AS skipped_reason
-    FROM ({_U4_DONE}) g"""
+def _u4(batch: str) -> str:
+    done = f"""SELECT c.dialog_id, c.ts, c.aid, {batch} AS done, d.has_unopened AS flag, f.has_unopened AS computed
+        FROM (SELECT *, row_number() OVER (ORDER BY ts, aid, dialog_id) AS rn FROM ({_U4_ALL}) q) c
+        LEFT JOIN dialog d ON d.id = c.dialog_id LEFT JOIN ({_TRUE_FLAG}) f ON f.dialog_id = c.dialog_id"""
+    return f"""SELECT dialog_id, CASE WHEN done THEN CAST('{NOW}' AS TIMESTAMP) END AS processed_at,
+        CASE WHEN done AND flag AND NOT computed THEN CAST('{NOW}' AS TIMESTAMP) END AS updated_at,
+        CASE WHEN NOT done OR (flag AND NOT computed) THEN NULL WHEN flag IS NULL THEN 'dialog_not_found'
+             WHEN NOT flag THEN 'already_false' WHEN computed THEN 'still_has_unopened_content'
+             ELSE 'not_updated_unknown' END AS skipped_reason
+        FROM ({done}) g"""
+
+
+_U4 = _u4("rn <= 1000")
+_U4_WHOLE = _u4("true")
 
 # --- backfill -----------------------------------------------------------------------
 
@@ -743,7 +748,7 @@ ENTRIES = {
     ),
     "u6_first_repairable": (
         u6_first_repairable,
-        f"SELECT dialog_id FROM ({_U4}) c WHERE updated_at IS NOT NULL ORDER BY processed_at, dialog_id LIMIT 100",
+        f"SELECT dialog_id FROM ({_U4_WHOLE}) c WHERE updated_at IS NOT NULL ORDER BY processed_at, dialog_id LIMIT 100",
     ),
     "u6_phase_stats": (
         u6_phase_stats,

@@ -30,12 +30,10 @@ def token_positions(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _phrase(tokens: Column, wanted: list[str]) -> Column:
-    first = F.array_contains(tokens, wanted[0])
     if len(wanted) == 1:
-        return first
-    phrase = F.array(*[F.lit(w) for w in wanted])
-    span = F.sequence(F.lit(1), F.greatest(F.size(tokens) - len(wanted) + 1, F.lit(1)))
-    return first & F.exists(span, lambda at: F.slice(tokens, at, len(wanted)) == phrase)
+        return F.array_contains(tokens, wanted[0])
+    # Words hold letters and digits only, so blanks mark their borders exactly.
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).contains(f" {' '.join(wanted)} ")
 
 
 def text_matches(tokens: Column, query: str) -> Column:
