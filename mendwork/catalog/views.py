@@ -221,26 +221,29 @@ VIEWS: dict[str, str] = {
 }
 
 # Views that a whole repair reads several times: derived once, written, and read back as the tables they stand for.
-STORED = ("staging_label", "staging_actor", "actor_name", "activity", "actor", "context_label", "party_service")
+STORED = (
+    "staging_label", "staging_actor_base", "staging_actor", "actor_name", "activity", "actor", "context_label",
+    "party_service",
+)
 
 _NAME = re.compile(r"\b[a-z_]+\b")
 
 
-def _needs(text: str, seen: list[str]) -> None:
+def _needs(text: str, seen: list[str], given: tuple[str, ...]) -> None:
     for name in _NAME.findall(text):
-        if name in VIEWS and name not in seen:
-            _needs(VIEWS[name], seen)
+        if name in VIEWS and name not in seen and name not in given:
+            _needs(VIEWS[name], seen, given)
             if name not in seen:
                 seen.append(name)
 
 
-def with_views(body: str) -> str:
-    """``body`` preceded by the views it mentions, in dependency order.
+def with_views(body: str, given: tuple[str, ...] = ()) -> str:
+    """``body`` preceded by the views it mentions, in dependency order, but for those ``given`` as tables.
 
     ``body`` may start with its own ``WITH``.
     """
     needed: list[str] = []
-    _needs(body, needed)
+    _needs(body, needed, given)
     own = body.strip()
     if not needed:
         return own
@@ -262,17 +265,23 @@ class Views:
         return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
 
     def sql(self, body: str) -> DataFrame:
-        text = with_views(body)
+        text = with_views(body, given=STORED)
+        for name in STORED:
+            if re.search(rf"\b{name}\b", text):
+                self._store(name).createOrReplaceTempView(name)
         for name in BASE_TABLES:
             if re.search(rf"\b{name}\b", text):
                 self.table(name).createOrReplaceTempView(name)
         return self.spark.sql(text)
 
+    def _store(self, name: str) -> DataFrame:
+        if name not in self._stored:
+            self._stored[name] = durable(self.sql(VIEWS[name]))
+        return self._stored[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in STORED:
-            if name not in self._stored:
-                self._stored[name] = durable(self.sql(f"SELECT * FROM {name}"))
-            return self._stored[name]
+            return self._store(name)
         if name in VIEWS:
             return self.sql(f"SELECT * FROM {name}")
         if name in BASE_TABLES:

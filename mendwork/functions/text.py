@@ -54,8 +54,10 @@ def text_matches(tokens: Column, query: str) -> Column:
     if not branches or any(all(negated for negated, _ in b) for b in branches):
         return F.lit(False)
 
-    def branch(terms: list[tuple[bool, list[str]]]) -> Column:
-        parts = [~_phrase(tokens, w) if negated else _phrase(tokens, w) for negated, w in terms]
+    def branch(words_: Column, terms: list[tuple[bool, list[str]]]) -> Column:
+        parts = [~_phrase(words_, w) if negated else _phrase(words_, w) for negated, w in terms]
         return reduce(lambda a, b: a & b, parts)
 
-    return reduce(lambda a, b: a | b, [branch(b) for b in branches])
+    # The one-element array binds the word array to a name: a filter pushed below the projection that splits
+    # the text then splits it once per row, not once per term.
+    return F.exists(F.array(tokens), lambda t: reduce(lambda a, b: a | b, [branch(t, b) for b in branches]))

@@ -74,11 +74,10 @@ def plan_metrics(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
     removed rows and name counts cover the whole tree. All of it is string work inside one scan.
     """
     text = F.col(plan)
-
-    def root(path: str) -> Column:
-        return F.coalesce(F.get_json_object(text, path).try_cast("double"), F.lit(0.0))
-
-    fields = [root(f"$[0]['Plan']['{field}']").alias(name) for name, field in PLAN_FIELDS]
+    node = ", ".join(f"`{field}`: double" for _, field in PLAN_FIELDS)
+    shape = f"array<struct<`Plan`: struct<{node}>, `Planning Time`: double, `Execution Time`: double, `JIT`: string>>"
+    top = F.col("_root")[0]
+    fields = [F.coalesce(top["Plan"][field], F.lit(0.0)).alias(name) for name, field in PLAN_FIELDS]
     removed = reduce(
         lambda a, b: a + b,
         [
@@ -88,14 +87,21 @@ def plan_metrics(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
     )
     kept = [c for c in plan_logs.columns if c != plan]
     blocks = F.col("shared_hit_blocks") + F.col("shared_read_blocks")
-    return plan_logs.select(
+    # The text is parsed once and searched once per field; the second step counts over the found arrays.
+    read = plan_logs.select(
         *kept,
-        root("$[0]['Planning Time']").alias("planning_time_ms"),
-        root("$[0]['Execution Time']").alias("execution_time_ms"),
-        *fields,
+        F.from_json(text, shape).alias("_root"),
         removed.cast("long").alias("rows_removed"),
-        *[_counted(_texts(text, field)).alias(name) for name, field in PLAN_COUNTERS],
-        F.get_json_object(text, "$[0]['JIT']").alias("jit"),
+        *[_texts(text, field).alias(f"_{name}") for name, field in PLAN_COUNTERS],
+    )
+    return read.select(
+        *kept,
+        F.coalesce(top["Planning Time"], F.lit(0.0)).alias("planning_time_ms"),
+        F.coalesce(top["Execution Time"], F.lit(0.0)).alias("execution_time_ms"),
+        *fields,
+        "rows_removed",
+        *[_counted(F.col(f"_{name}")).alias(name) for name, _ in PLAN_COUNTERS],
+        top["JIT"].alias("jit"),
     ).withColumn("shared_hit_ratio", F.when(blocks > 0, F.col("shared_hit_blocks") / blocks))
 
 
