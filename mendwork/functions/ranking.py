@@ -18,9 +18,16 @@ def newest_first(ts: str = "content_updated_at", key: str = "id") -> list[Column
     return [F.col(ts).desc_nulls_first(), F.col(key).desc_nulls_first()]
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality over ``keys``."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; keeps the left keys and all other columns of both sides.
+
+    The right keys are renamed first, so both sides may come from one frame.
+    """
+    renamed = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def add_position(
@@ -45,9 +52,8 @@ def add_position(
     offsets = spread.select(
         *group, "_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    return placed.join(offsets, same_keys(placed, offsets, [*group, "_part"])).select(
-        *[placed[c] for c in df.columns],
-        (offsets["_before"] + placed["_row"] - offsets["_first"] + 1).alias(name),
+    return join_null_safe(placed, offsets, [*group, "_part"]).select(
+        *df.columns, (F.col("_before") + F.col("_row") - F.col("_first") + 1).alias(name)
     )
 
 
@@ -123,11 +129,8 @@ def exact_percentiles(
         Window.partitionBy(*keys, "_part").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     )
     running = placed.withColumn("_within", within)
-    ranked = running.join(offsets, same_keys(running, offsets, [*keys, "_part"])).select(
-        *[running[k] for k in keys],
-        running["_value"],
-        (offsets["_before"] + running["_within"]).alias("_upto"),
-        offsets["_total"],
+    ranked = join_null_safe(running, offsets, [*keys, "_part"]).select(
+        *keys, "_value", (F.col("_before") + F.col("_within")).alias("_upto"), "_total"
     )
 
     def at(rank: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendwork.constants import BLOCK_BYTES
-from mendwork.functions.ranking import exact_percentiles, number_rows, same_keys
+from mendwork.functions.ranking import exact_percentiles, join_null_safe, number_rows
 from mendwork.operators.search import PAYLOAD_SCHEMA
 
 # --- plan logs as JSON ------------------------------------------------------------
@@ -133,8 +133,7 @@ TOP_INDEXES, TOP_NODE_TYPES = 5, 8
 
 
 def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    extra = [right[c] for c in right.columns if c not in keys]
-    return left.join(right, same_keys(left, right, keys), "left").select(*[left[c] for c in left.columns], *extra)
+    return join_null_safe(left, right, keys, "left")
 
 
 def group_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:

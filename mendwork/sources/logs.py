@@ -18,10 +18,7 @@ def read_plan_logs(spark: SparkSession, root: str, file_name: str = "explain.jso
     """
     path = F.col("_metadata.file_path")
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", file_name)
-        .text(root)
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=file_name)
         .select(path.alias("path"), F.col("value").alias("plan"))
     )
 
