@@ -146,7 +146,7 @@ def actor_candidates(
     agreed = (
         _staged_matches(staging)
         .where("_agreed")
-        .join(activities.select(*key), key)
+        .join(activities.where(F.col("type_id").isin(*ACTIVITY_TYPE_BY_NAME.values())).select(*key), key)
         .select(F.col("id").alias("activity_id"), "actor_id", "name")
     )
     named = resolution.where(F.col("actor_name_entity_id").isNotNull()).select(

@@ -30,7 +30,7 @@ def new_candidates(found: DataFrame, keys: Sequence[str], now: Moment) -> DataFr
     else:
         one = found.select(*keys).distinct()
     at = moment(now)
-    none_at = F.lit(None).cast("timestamp_ntz") if not isinstance(now, Column) else F.when(F.lit(False), at)
+    none_at = F.when(F.lit(False), at)
     return one.select(
         *keys,
         *payload,
@@ -176,8 +176,9 @@ def _rate(total: Column, digits: int | None = None) -> Column:
 def progress_eta(candidates: DataFrame, log: DataFrame) -> DataFrame:
     """Progress with percent done, lifetime rows per second and estimated seconds left."""
     rate = log.where(F.col("finished_at").isNotNull()).agg(_rate(F.sum("claimed")).alias("rows_per_sec"))
-    # Both sides are one-row aggregates.
-    joined = progress(candidates).join(rate, how="left", on=F.lit(True))
+    # Two one-row aggregates folded into one row.
+    both = progress(candidates).unionByName(rate, allowMissingColumns=True)
+    joined = both.agg(*[F.max(c).alias(c) for c in both.columns])
     pct = F.round(F.lit(100.0) * F.col("processed") / F.nullif(F.col("total"), F.lit(0)), 2)
     eta = F.when(F.col("rows_per_sec") > 0, F.col("remaining") / F.col("rows_per_sec"))
     return joined.select(

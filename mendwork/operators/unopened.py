@@ -118,8 +118,8 @@ def merge_candidates(candidates: DataFrame | None, batch: DataFrame, repair_name
         return fresh.select(
             "*",
             at.alias("discovered_at"),
-            F.lit(None).cast("timestamp_ntz").alias("processed_at"),
-            F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+            F.when(F.lit(False), at).alias("processed_at"),
+            F.when(F.lit(False), at).alias("updated_at"),
             F.lit(None).cast("string").alias("skipped_reason"),
         )
     o, n = candidates.alias("o"), fresh.alias("n")

@@ -59,8 +59,8 @@ def stream_candidates(spark: SparkSession, out_dir: str, now: Moment) -> DataFra
             "_first.first_activity_id",
             "source_activity_count",
             moment(now).alias("discovered_at"),
-            F.lit(None).cast("timestamp_ntz").alias("processed_at"),
-            F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+            F.when(F.lit(False), moment(now)).alias("processed_at"),
+            F.when(F.lit(False), moment(now)).alias("updated_at"),
             F.lit(None).cast("string").alias("skipped_reason"),
         )
     )
