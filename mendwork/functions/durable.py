@@ -9,13 +9,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a scratch folder only where it names none."""
+    """The folder the session names in ``spark.checkpoint.dir``.
+
+    A purely local master (``local[...]``) has one disk, so a scratch folder is named there when none is set.
+    On any other master a missing setting is an error: a machine-local folder would lose stage files.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share (master is {master})")
     scratch = tempfile.mkdtemp(prefix="spark-")
     spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def stage_dir(spark: SparkSession) -> str:
+    """The folder under which this application keeps its stage files."""
+    return f"{shared_dir(spark)}/mendwork-{spark.sparkContext.applicationId}"
+
+
+def new_stage(spark: SparkSession) -> str:
+    """An unused path for one stage file."""
+    return f"{stage_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Remove every stage file of this application; frames that read them are unusable afterwards."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -26,6 +49,6 @@ def durable(df: DataFrame) -> DataFrame:
     planned on measured sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/mendwork-{uuid.uuid4().hex}"
+    path = new_stage(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

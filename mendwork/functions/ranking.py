@@ -57,6 +57,32 @@ def add_position(
     )
 
 
+def add_running_total(
+    df: DataFrame, order: Sequence[Column], value: str, group: Sequence[str] = (), name: str = "before"
+) -> DataFrame:
+    """Sum of ``value`` (a long) over the rows that come before a row in ``order``, overall or within ``group``.
+
+    Rows are range partitioned by (group, order), so a hot group spreads over many tasks. Each (partition,
+    group) run is summed on its own, and a table with one row per run supplies what came before. The result
+    does not depend on where the partitions were cut. Equal rows take their places in no set order.
+    """
+    group = list(group)
+    sort = [F.col(g).asc_nulls_first() for g in group] + list(order)
+    placed = durable(
+        df.repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .withColumn("_row", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftrightunsigned("_row", 33))
+    spread = placed.groupBy(*group, "_part").agg(F.sum(value).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spread.select(*group, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    run = Window.partitionBy(*group, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumn("_within", F.coalesce(F.sum(value).over(run), F.lit(0)))
+    return join_null_safe(running, offsets, [*group, "_part"]).select(
+        *df.columns, (F.col("_before") + F.col("_within")).alias(name)
+    )
+
+
 def number_rows(df: DataFrame, order: Sequence[Column], at_most: int | None = None, name: str = "position") -> DataFrame:
     """Row number in ``order``: one window when ``at_most`` rows are known to be few, else :func:`add_position`."""
     if at_most is not None and at_most <= ONE_TASK_ROWS:
