@@ -8,13 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendwork.functions.durable import new_stage
-from mendwork.llm import chat, fingerprint, language, lines, mixing, packing, planes, quality, simhash
+from mendwork.llm import ann, chat, fingerprint, language, lines, mixing, packing, planes, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def _held_out() -> Column:
     """Documents no model learns from: a quarter, by the CRC-32 of the id's text."""
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -77,6 +81,7 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multi_index": op1_multi_index,
     "op2_language": op2_language,
     "op3_quality": op3_quality,
     "op4_chat": op4_chat,
@@ -88,7 +93,92 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lines": op10_lines,
 }
 
-ORACLE: dict[str, str] = {}
+# The control strings of the chat template, as a pattern that may hold backslashes after the first character.
+_CONTROL = r"(<\\*(?:s>|/s>)|\[\\*(?:INST\]|/INST\]))"
+
+ORACLE: dict[str, str] = {
+    "op4_chat": rf"""
+        WITH said AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(3 + length(role) + 7 + length(text) + 13
+                        + len(regexp_extract_all(text, '{_CONTROL}')) + len(regexp_extract_all(role, '{_CONTROL}'))) AS BIGINT) AS formatted_chars
+        FROM said GROUP BY conv_id
+    """,
+    "op7_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5(CAST(doc_id AS VARCHAR)) AS key
+            FROM documents
+        ),
+        sizes AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER) AS weight_class FROM sized GROUP BY source
+        ),
+        trial AS (
+            SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER ratio, 0))::DOUBLE
+                      / (sum(weight_class + 1) OVER () - coalesce(sum(weight_class + 1) OVER ratio, 0))::DOUBLE AS level
+            FROM sizes
+            WINDOW ratio AS (ORDER BY 3 * source_size / (weight_class + 1)::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ),
+        targets AS (
+            SELECT source, source_size, weight_class,
+                   least(3.0::DOUBLE * source_size, coalesce(max(level) FILTER (level * (weight_class + 1) <= 3 * source_size) OVER () * (weight_class + 1), 3.0::DOUBLE * source_size)) AS target
+            FROM trial
+        ),
+        stream AS (
+            SELECT s.doc_id, s.size, t.source, t.source_size, t.weight_class, t.target,
+                   coalesce(sum(s.size) OVER (PARTITION BY t.source ORDER BY s.key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+        ),
+        asked AS (
+            SELECT *, CASE WHEN size = 0 THEN 0 ELSE (before + size / 2.0::DOUBLE < target)::INT + (source_size + before + size / 2.0::DOUBLE < target)::INT
+                      + (2 * source_size + before + size / 2.0::DOUBLE < target)::INT END AS passes
+            FROM stream
+        ),
+        lacking AS (SELECT *, target - sum(passes * size) OVER (PARTITION BY source) AS lack FROM asked),
+        mends AS (
+            SELECT source, arg_min(before, (abs(abs(lack) - size), before)) AS mended FROM lacking
+            WHERE size > 0 AND size < 2 * abs(lack) AND CASE WHEN lack > 0 THEN passes < 3 ELSE passes > 0 END GROUP BY source
+        ),
+        final AS (
+            SELECT l.*, CASE WHEN m.mended = l.before AND l.size > 0 THEN CASE WHEN lack > 0 THEN 1 ELSE -1 END ELSE 0 END AS change
+            FROM lacking l LEFT JOIN mends m ON l.source IS NOT DISTINCT FROM m.source
+        ),
+        timed AS (
+            SELECT *, CASE WHEN passes + change = 0 THEN NULL WHEN passes > 0 THEN (before + size / 2.0::DOUBLE) / target ELSE 1.0::DOUBLE END AS share FROM final
+        )
+        SELECT doc_id, size, source_size, target, CAST((passes + change) * size AS BIGINT) AS taken,
+               round(CASE weight_class
+                   WHEN 0 THEN 2 * share / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 2 * share, 0)))
+                   WHEN 1 THEN share
+                   ELSE CASE WHEN share <= 0.375::DOUBLE THEN 2 * share / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * share))
+                             ELSE 0.5::DOUBLE + 2 * (share - 0.375::DOUBLE) / (1.0::DOUBLE + sqrt(1.0::DOUBLE + 2 * (share - 0.375::DOUBLE))) END
+               END, 9) AS first_position
+        FROM timed
+    """,
+    "op10_lines": r"""
+        WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+        placed AS (
+            SELECT doc_id, lines, unnest(range(greatest(len(lines) - 3, 0) + 1)) AS pos FROM split WHERE lines IS NOT NULL
+        ),
+        windows AS (
+            SELECT doc_id, pos, lines[pos + 1 : pos + 3] AS w FROM placed
+            WHERE NOT regexp_matches(array_to_string(lines[pos + 1 : pos + 3], ''), '^\s*$')
+        ),
+        later AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY w ORDER BY doc_id NULLS LAST, pos) AS k FROM windows),
+        covered AS (SELECT DISTINCT doc_id, pos + j AS line FROM later, (VALUES (0), (1), (2)) AS t(j) WHERE k > 1),
+        gone AS (SELECT c.doc_id, list(line) AS gone FROM covered c JOIN split s ON c.doc_id = s.doc_id WHERE line < len(s.lines) GROUP BY c.doc_id)
+        SELECT s.doc_id, CAST(coalesce(len(s.lines), 0) AS INTEGER) AS n_lines, CAST(coalesce(len(g.gone), 0) AS INTEGER) AS n_removed,
+               CASE WHEN g.gone IS NULL THEN s.text
+                    ELSE array_to_string([s.lines[i + 1] FOR i IN range(len(s.lines)) IF NOT list_contains(g.gone, i)], chr(10)) END AS text
+        FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
+    """,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mendwork.functions.durable import durable
 
@@ -189,7 +190,7 @@ def _all_digests(texts: list[bytes], ranks: np.ndarray) -> list[np.ndarray]:
 
 def fingerprints(docs: DataFrame, *keys: str, ranks: np.ndarray, text: str = "text") -> DataFrame:
     """``keys`` and ``fingerprint`` (filters in base64) of every whole text; null texts are empty. No shuffle."""
-    schema = docs.select(*keys).schema.add("fingerprint", "string")
+    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("fingerprint", T.StringType())])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

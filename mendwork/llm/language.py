@@ -15,8 +15,9 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIMS = 8192
 UNDETERMINED = "und"
@@ -190,22 +191,26 @@ def train(
     return Model([r["lang"] for r in rows], centres, idf, floor)
 
 
-def identify(docs: DataFrame, model: Model, *keep: Column | str, text: str = "text") -> DataFrame:
-    """``keep`` columns of every row with ``lang_pred``, ``score`` and ``rejected``; one pass, no shuffle.
+def identify(
+    docs: DataFrame, model: Model, *keep: str, text: str = "text", named: tuple[str, str, str] = ("lang_pred", "score", "rejected")
+) -> DataFrame:
+    """``keep`` columns of every row with prediction, score and rejection (called ``named``); one pass, no shuffle.
 
-    ``score`` is the cosine to the nearest centroid, at least 0. Null texts and texts without a letter are
+    The score is the cosine to the nearest centroid, at least 0. Null texts and texts without a letter are
     ``und`` with score 0 and rejected; so is everything when the model has no language. The prediction of a
-    rejected text with letters is still the nearest language.
+    rejected text with letters is still the nearest language. Kept columns must not have the names in ``named``.
     """
     kept = docs.select(*keep)
-    names = kept.columns
-    schema = kept.schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
+    schema = T.StructType([*kept.schema.fields, *map(T.StructField, named, kinds)])
     languages = np.array(model.languages, object)
     centres, idf, floor, dims = model.centroids, model.idf, model.floor, len(model.idf)
+    read = kept if text in keep else docs.select(*keep, text)
+    at_text, width = read.columns.index(text), len(keep)
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(names))
+            texts = batch.column(at_text)
             pred = np.full(len(texts), UNDETERMINED, object)
             score, rejected = np.zeros(len(texts)), np.ones(len(texts), bool)
             for at in range(0, len(texts), 256):
@@ -214,11 +219,10 @@ def identify(docs: DataFrame, model: Model, *keep: Column | str, text: str = "te
                     continue
                 where, counts = np.array(list(rows)), np.stack(list(rows.values()))
                 near = weighted(counts, idf) @ centres.T
-                best = near.argmax(axis=1)
-                pred[where] = languages[best]
+                pred[where] = languages[near.argmax(axis=1)]
                 score[where] = np.clip(near.max(axis=1).astype(float), 0, 1)
                 rejected[where] = near.max(axis=1) < floor[np.minimum(np.rint(_level(counts)).astype(int), _LEVELS - 1)]
-            columns = [*batch.columns[: len(names)], pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score", "rejected"])
+            columns = [*batch.columns[:width], pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *named])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(name, schema)
+    return read.mapInArrow(name, schema)

@@ -59,7 +59,8 @@ def remove_repeated(docs: DataFrame, *, size: int = WINDOW_LINES, doc_id: str =
     keyed = docs.drop("n_lines", "n_removed").withColumns({"_id": F.col(doc_id), "_th": F.xxhash64(text)})
     joined = join_null_safe(keyed, starts, ["_id", "_th"], "left").drop("_id", "_th")
     names = [c for c in joined.columns if c != "_starts"]
-    schema = joined.select(*names).schema.add("n_lines", T.IntegerType()).add("n_removed", T.IntegerType())
+    counts = [T.StructField(n, T.IntegerType()) for n in ("n_lines", "n_removed")]
+    schema = T.StructType([*joined.select(*names).schema.fields, *counts])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text)

@@ -104,7 +104,7 @@ def with_statistics(docs: DataFrame, *keep: Column | str, text: str = "text") ->
     """``keep`` columns with ``stats`` (array of doubles); one pass, no shuffle."""
     kept = docs.select(*keep)
     names = kept.columns
-    schema = kept.schema.add("stats", T.ArrayType(T.DoubleType()))
+    schema = T.StructType([*kept.schema.fields, T.StructField("stats", T.ArrayType(T.DoubleType()))])
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,7 +235,7 @@ def predict(stats: np.ndarray, model: Model) -> np.ndarray:
 
 def score(stats: DataFrame, model: Model, *keep: str) -> DataFrame:
     """``keep`` columns of every row of ``stats`` with ``score`` (0 to 1, higher: good is likelier)."""
-    schema = stats.select(*keep).schema.add("score", T.DoubleType())
+    schema = T.StructType([*stats.select(*keep).schema.fields, T.StructField("score", T.DoubleType())])
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

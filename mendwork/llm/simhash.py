@@ -55,7 +55,7 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, *keys: str, text: str = "text", shingle_words: int = 4) -> DataFrame:
     """``keys`` and ``fp``, the fingerprint as a signed long. Null texts have no words. No shuffle."""
-    schema = docs.select(*keys).schema.add("fp", T.LongType())
+    schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("fp", T.LongType())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
