@@ -2,7 +2,7 @@
 
 The byte-level vocabulary cuts a text at every place where white space follows other text, so a text's ids are
 the ids of its words, each with the space before it. Words repeat, so their ids are kept per Python worker and
-the library encodes each word once. Texts whose spacing is unusual go through the library whole.
+the library merges each of their parts once. Texts whose spacing is unusual go through the library whole.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 # Up to so many words are kept per worker, each up to so many characters.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 500_000
 KNOWN_CHARS = 48
 END_ID = 0
 # Printable ASCII, the line feed, and letters up to U+167F: among these, only space and line feed are white space.
@@ -28,13 +28,50 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+# The byte-level vocabulary's own cutting of words, for the letters and marks whose kind both patterns agree on.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_PLAIN = re.compile(f"[\n !-~{_LETTERS}]*")
+_PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign a byte-level vocabulary writes for each byte: itself where it shows, else one after U+0100, in turn."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class _Parts(dict):
+    """Ids of the parts that the vocabulary cuts words into; each is merged by the library's model once."""
+
+    def __init__(self, model):
+        super().__init__()
+        self._model, self._signs = model, _byte_signs()
+
+    def __missing__(self, part: str) -> bytes:
+        found = self._model.tokenize(part.encode().decode("latin-1").translate(self._signs))
+        ids = array("I", [token.id for token in found]).tobytes()
+        if len(part) <= KNOWN_CHARS:
+            if len(self) >= KNOWN_WORDS:
+                self.clear()
+            self[part] = ids
+        return ids
+
+
 class _Words(dict):
-    def __init__(self, tokenizer, lead: str):
+    """Ids of words with ``lead`` before them."""
+
+    def __init__(self, tokenizer, parts: _Parts, lead: str):
         super().__init__()
-        self._tokenizer, self._lead = tokenizer, lead
+        self._tokenizer, self._parts, self._lead = tokenizer, parts, lead
 
     def __missing__(self, word: str) -> bytes:
-        ids = array("I", self._tokenizer.encode(self._lead + word, add_special_tokens=False).ids).tobytes()
+        whole = self._lead + word
+        if _PLAIN.fullmatch(whole):
+            parts = self._parts
+            ids = b"".join([parts[p] for p in _PARTS.findall(whole)])
+        else:
+            ids = array("I", self._tokenizer.encode(whole, add_special_tokens=False).ids).tobytes()
         if len(word) <= KNOWN_CHARS:
             if len(self) >= KNOWN_WORDS:
                 self.clear()
@@ -43,19 +80,25 @@ class _Words(dict):
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; a special token's name in a text is ordinary text."""
+    """Encodes texts to little-endian unsigned 32-bit ids; a special token's name in a text is ordinary text.
+
+    Vocabularies that are not byte-level, or that change a text first, get every text whole.
+    """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._first, self._later = _Words(self._tokenizer, ""), _Words(self._tokenizer, " ")
+        self._tokenizer = t = Tokenizer.from_file(path)
+        t.encode_special_tokens = True
+        by_bytes = isinstance(t.pre_tokenizer, pre_tokenizers.ByteLevel) and not t.pre_tokenizer.add_prefix_space
+        self._by_word = by_bytes and t.normalizer is None and isinstance(t.model, models.BPE)
+        parts = _Parts(t.model)
+        self._first, self._later = _Words(t, parts, ""), _Words(t, parts, " ")
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "  " in text or "\n " in text or _UNUSUAL.search(text):
+        if not self._by_word or "  " in text or "\n " in text or _UNUSUAL.search(text):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         first, *later = text.split(" ")
         known = self._later
