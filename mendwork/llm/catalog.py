@@ -140,19 +140,32 @@ ORACLE: dict[str, str] = {
                       + (2 * source_size + before + size / 2.0::DOUBLE < target)::INT END AS passes
             FROM stream
         ),
-        lacking AS (SELECT *, target - sum(passes * size) OVER (PARTITION BY source) AS lack FROM asked),
-        mends AS (
-            SELECT source, arg_min(before, (abs(abs(lack) - size), before)) AS mended FROM lacking
+        lacking1 AS (SELECT *, target - sum(passes * size) OVER (PARTITION BY source) AS lack FROM asked),
+        mends1 AS (
+            SELECT source, arg_min(before, (abs(abs(lack) - size), before)) AS mended FROM lacking1
             WHERE size > 0 AND size < 2 * abs(lack) AND CASE WHEN lack > 0 THEN passes < 3 ELSE passes > 0 END GROUP BY source
         ),
-        final AS (
-            SELECT l.*, CASE WHEN m.mended = l.before AND l.size > 0 THEN CASE WHEN lack > 0 THEN 1 ELSE -1 END ELSE 0 END AS change
-            FROM lacking l LEFT JOIN mends m ON l.source IS NOT DISTINCT FROM m.source
+        once AS (
+            SELECT l.* EXCLUDE (lack), CASE WHEN m.mended = l.before AND l.size > 0 THEN CASE WHEN lack > 0 THEN 1 ELSE -1 END ELSE 0 END AS change
+            FROM lacking1 l LEFT JOIN mends1 m ON l.source IS NOT DISTINCT FROM m.source
+        ),
+        lacking2 AS (SELECT *, target - sum((passes + change) * size) OVER (PARTITION BY source) AS lack FROM once),
+        mends2 AS (
+            SELECT source, arg_min(before, (abs(abs(lack) - size), before)) AS mended FROM lacking2
+            WHERE size > 0 AND size < 2 * abs(lack) AND CASE WHEN lack > 0 THEN passes + change < 3 ELSE passes + change > 0 END GROUP BY source
+        ),
+        twice AS (
+            SELECT l.*, CASE WHEN m.mended = l.before AND l.size > 0 THEN CASE WHEN lack > 0 THEN 1 ELSE -1 END ELSE 0 END AS change2
+            FROM lacking2 l LEFT JOIN mends2 m ON l.source IS NOT DISTINCT FROM m.source
         ),
         timed AS (
-            SELECT *, CASE WHEN passes + change = 0 THEN NULL WHEN passes > 0 THEN (before + size / 2.0::DOUBLE) / target ELSE 1.0::DOUBLE END AS share FROM final
+            SELECT *, passes + change + change2 AS taken_passes,
+                   CASE WHEN passes + change + change2 = 0 THEN NULL
+                        WHEN passes + least(change, 0) + CASE WHEN change2 = -1 AND change <> 1 THEN -1 ELSE 0 END > 0 THEN (before + size / 2.0::DOUBLE) / target
+                        ELSE 1.0::DOUBLE END AS share
+            FROM twice
         )
-        SELECT doc_id, size, source_size, target, CAST((passes + change) * size AS BIGINT) AS taken,
+        SELECT doc_id, size, source_size, target, CAST(taken_passes * size AS BIGINT) AS taken,
                round(CASE weight_class
                    WHEN 0 THEN 2 * share / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 2 * share, 0)))
                    WHEN 1 THEN share

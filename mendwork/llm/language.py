@@ -25,7 +25,8 @@ UNDETERMINED = "und"
 SAMPLE_TEXTS = 400
 CENTROIDS = 4
 ROUNDS = 12
-# Distance in deviations beyond which a text is rejected.
+# A text is rejected when its cosine is this many deviations below the mean of texts with as many n-grams, or below
+# half of the least of them.
 REJECT_DEVIATIONS = 6.0
 _LEVELS = 24
 _SLICE = 1 << 20
@@ -184,7 +185,7 @@ def train(
         # At least two levels wide, so that every level that occurs has texts; levels never seen take the one below.
         near = cosines[np.abs(levels - level) <= 1] if len(levels) else cosines
         if len(near) >= 8:
-            floor[level] = near.mean() - deviations * near.std()
+            floor[level] = max(near.mean() - deviations * near.std(), near.min() / 2)
         elif level:
             floor[level] = floor[level - 1]
     centres = np.stack([np.frombuffer(bytes(r["centroid"]), np.float32) for r in rows]) if rows else np.zeros((0, dims), np.float32)
