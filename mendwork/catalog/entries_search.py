@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
+from mendwork.constants import TEXT_CAPS
 from mendwork.functions.text import build_tokens, text_matches, token_positions
 from mendwork.functions.visibility import visible
 from mendwork.operators import search
@@ -15,8 +16,9 @@ _VISIBLE = """status_id IN (7, 2, 8) AND (visible_from IS NULL OR visible_from <
     AND (expires_at IS NULL OR expires_at > CAST('2000-06-01' AS TIMESTAMP)) AND NOT deleted"""
 
 
-def _party_perms(v: Views) -> DataFrame:
-    return v.permission.groupBy("group_no", "party").agg(F.collect_list("service").alias("services"))
+def _perms(v: Views) -> search.Permissions:
+    """Both narrow tables of the demo permissions, whose groups are full products of their lists."""
+    return search.Permissions(v.permission.select("group_no", "party").distinct(), v.permission.select("group_no", "service").distinct())
 
 
 def q1_visible(v: Views) -> DataFrame:
@@ -28,35 +30,31 @@ def q1_visible(v: Views) -> DataFrame:
 
 
 def q2_search_party_driven(v: Views) -> DataFrame:
-    return search.search_party_driven(v.dialog, _party_perms(v), AS_OF)
+    return search.search_party_driven(v.dialog, _perms(v), AS_OF)
 
 
 def q2_search_cases(v: Views) -> DataFrame:
     """All nations' permission sets searched at once."""
-    perms = v.sql(
-        """SELECT DISTINCT c_nationkey AS case_no, party, service
+    parties = v.sql("SELECT DISTINCT c_nationkey AS case_no, 0 AS group_no, urn AS party FROM cust")
+    services = v.sql(
+        """SELECT DISTINCT c_nationkey AS case_no, 0 AS group_no, service
            FROM dialog JOIN cust ON urn = party WHERE service < 'urn:demo:resource:4'"""
     )
-    perms = perms.groupBy("case_no", "party").agg(F.collect_list("service").alias("services"))
+    perms = search.Permissions(parties, services)
     return search.search_party_driven(v.dialog, perms, AS_OF, case=["case_no"], mask_bit=1)
 
 
 def q3_search_service_driven(v: Views) -> DataFrame:
-    return search.search_service_driven(v.dialog, _service_pairs(v), AS_OF, mask_bit=1)
-
-
-def _service_pairs(v: Views) -> DataFrame:
-    # One row per (group, service, party): a service's party list may be as long as the party table.
-    return v.permission.select("group_no", "service", F.array("party").alias("parties"))
+    return search.search_service_driven(v.dialog, _perms(v), AS_OF, mask_bit=1)
 
 
 def q4_search_single_party(v: Views) -> DataFrame:
-    services = v.permission.where(F.col("group_no") == 0).groupBy("party").agg(F.collect_set("service").alias("services"))
+    services = v.permission.groupBy("party").agg(F.collect_set("service").alias("services"))
     return search.search_single_party(v.dialog, services, AS_OF, k=3)
 
 
 def q5_fetch_page(v: Views) -> DataFrame:
-    ids = search.search_party_driven(v.dialog, _party_perms(v), AS_OF)
+    ids = search.search_party_driven(v.dialog, _perms(v), AS_OF)
     return search.fetch_page(ids, v.dialog)
 
 
@@ -65,9 +63,13 @@ _TEXT_QUERY = "the -en"
 
 
 def q6_search_dialog_first_text(v: Views) -> DataFrame:
-    tokens = build_tokens(v.documents)
+    return search.search_dialog_first_text(v.dialog, _perms(v), build_tokens(v.documents), _TEXT_QUERY, AS_OF)
+
+
+def q6_search_dialog_first_text_capped(v: Views) -> DataFrame:
+    per_driver, overall, k = TEXT_CAPS
     return search.search_dialog_first_text(
-        v.dialog, _party_perms(v), tokens, _TEXT_QUERY, AS_OF, caps=(40, 3000, 101)
+        v.dialog, _perms(v), build_tokens(v.documents), _TEXT_QUERY, AS_OF, k=k, per_driver=per_driver, overall=overall
     )
 
 
@@ -94,7 +96,7 @@ def q8_build_tokens(v: Views) -> DataFrame:
 
 
 def q9_dialog_labels(v: Views) -> DataFrame:
-    page = search.dialog_labels(v.dialog, v.context, v.context_label, k=5)
+    page = search.dialog_labels(v.dialog, v.context, v.context_label)
     return page.withColumn("labels", F.array_join(F.col("labels").cast("array<string>"), ","))
 
 
@@ -110,7 +112,14 @@ _PERMITTED_TEXT = """
       FROM dialog d JOIN permission p ON p.party = d.party AND p.service = d.service
       WHERE (visible_from IS NULL OR visible_from <= CAST('2000-06-01' AS TIMESTAMP))
         AND (expires_at IS NULL OR expires_at > CAST('2000-06-01' AS TIMESTAMP)) AND NOT deleted AND NOT is_api_only) x
-    WHERE rn <= 40 ORDER BY content_updated_at DESC, id DESC LIMIT 3000"""
+    {cut}"""
+
+
+def _text_sql(cut: str) -> str:
+    return f"""SELECT c.id, c.content_updated_at FROM ({_PERMITTED_TEXT.format(cut=cut)}) c JOIN {_TOKENS} t ON t.doc_id = c.id
+            WHERE list_contains(tokens, 'the') AND NOT list_contains(tokens, 'en')
+            ORDER BY c.content_updated_at DESC, c.id DESC LIMIT 101"""
+
 
 _TOKENS = r"(SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS tokens FROM documents)"
 
@@ -141,7 +150,7 @@ ENTRIES = {
         f"""SELECT party, id, content_updated_at FROM (
               SELECT d.party, d.id, d.content_updated_at,
                      row_number() OVER (PARTITION BY d.party ORDER BY d.content_updated_at DESC, d.id DESC) AS rn
-              FROM dialog d JOIN permission p ON p.party = d.party AND p.service = d.service AND p.group_no = 0
+              FROM dialog d JOIN (SELECT DISTINCT party, service FROM permission) p ON p.party = d.party AND p.service = d.service
               WHERE {_VISIBLE}) x WHERE rn <= 3""",
     ),
     "q5_fetch_page": (
@@ -151,9 +160,11 @@ ENTRIES = {
     ),
     "q6_search_dialog_first_text": (
         q6_search_dialog_first_text,
-        f"""SELECT c.id, c.content_updated_at FROM ({_PERMITTED_TEXT}) c JOIN {_TOKENS} t ON t.doc_id = c.id
-            WHERE list_contains(tokens, 'the') AND NOT list_contains(tokens, 'en')
-            ORDER BY c.content_updated_at DESC, c.id DESC LIMIT 101""",
+        _text_sql(""),
+    ),
+    "q6_search_dialog_first_text_capped": (
+        q6_search_dialog_first_text_capped,
+        _text_sql("WHERE rn <= 2500 ORDER BY content_updated_at DESC, id DESC LIMIT 5000"),
     ),
     "q7_text_matches": (
         q7_text_matches,
@@ -181,6 +192,6 @@ ENTRIES = {
                             FROM context_label l WHERE l.context_id = c.id), '') AS labels
            FROM (SELECT *, row_number() OVER (PARTITION BY org, party ORDER BY content_updated_at DESC, id DESC) AS rn
                  FROM dialog) d
-           JOIN context c ON c.dialog_id = d.id WHERE rn <= 5""",
+           JOIN context c ON c.dialog_id = d.id WHERE rn <= 1001""",
     ),
 }

@@ -23,8 +23,8 @@ def w1_sample_distinct(v: Views) -> DataFrame:
 
 
 def w1_sample_distinct_widening(v: Views) -> DataFrame:
-    # A start at the whole table must equal the exact form.
-    return w.sample_distinct_widening(v.dialog, "party", 60, SEED, fraction=1.0)
+    # The first share is far too small at every size, so the sample is doubled several times.
+    return w.sample_distinct_widening(v.dialog, "party", 60, SEED, fraction=1 / 4096)
 
 
 def w2_heavy_hitters(v: Views) -> DataFrame:
@@ -57,8 +57,8 @@ def w5_sampled_distribution(v: Views) -> DataFrame:
 
 
 def w5_distribution_of(v: Views) -> DataFrame:
-    # The scaling of a drawn sample; the sample here is every dialog of one status.
-    return w.distribution_of(v.dialog.where(F.col("status_id") == 2), "party", 30.0)
+    # The scaling alone, of all dialogs taken as a sample of three tenths.
+    return w.distribution_of(v.dialog, "party", 30.0)
 
 
 def w6_band_sample(v: Views) -> DataFrame:
@@ -135,9 +135,8 @@ _BUCKETS = [(1, 1), (1, 20), (5, 5), (20, 20)]
 def w14_build_cases(v: Views) -> DataFrame:
     candidates = durable(_selected(v, "stratified", 37))
     return w.build_cases(candidates, _BUCKETS, 45, SEED).select(
-        "case_id", "hot_party", "band", "party_count", "service_count", _joined("parties"),
-        F.size("services").alias("n_services"),
-    )
+        "case_id", "hot_party", "band", "party_count", "service_count", _joined("parties"), _joined("services")
+    )
 
 
 def w15_single_party_cases(v: Views) -> DataFrame:
@@ -164,8 +163,8 @@ def w17_correlated_groups(v: Views) -> DataFrame:
 
 
 def _counts(v: Views) -> DataFrame:
-    """Dialogs per customer, also those without any; a third of the rows is spread by customer."""
-    return w.capped_counts(v.cust.select(F.col("urn").alias("party")), v.dialog.where("deleted OR is_api_only"), "party", 4)
+    """Dialogs per customer, also those without any."""
+    return w.capped_counts(v.cust.select(F.col("urn").alias("party")), v.dialog, "party")
 
 
 def w18_capped_counts(v: Views) -> DataFrame:
@@ -203,9 +202,9 @@ def w21_strata_summary(v: Views) -> DataFrame:
 
 def w22_resume_counts(v: Views) -> DataFrame:
     pool = v.cust.select(F.col("urn").alias("party"))
-    done = first_n(_counts(v), [F.col("party")], 20).withColumn("dialog_count", F.lit(99).cast("long"))
-    saved = {"fingerprint": w.pool_fingerprint(pool), "count_cap": 4}
-    return w.resume_counts(pool, v.dialog, done, saved, cap=4)
+    done = _counts(v).where(F.md5("party") < "8").withColumn("dialog_count", F.lit(99).cast("long"))
+    saved = {"fingerprint": w.pool_fingerprint(pool), "count_cap": None}
+    return w.resume_counts(pool, v.dialog, done, saved)
 
 
 _RANKED = "SELECT party, estimated_count, row_number() OVER (ORDER BY estimated_count DESC, party) AS rn, count(*) OVER () AS n FROM party_dist"
@@ -258,7 +257,12 @@ _LABELLED = f"""SELECT *, CASE WHEN dialog_count = 0 THEN '0' WHEN dialog_count
     WHEN dialog_count <= 1000 THEN '101-1000' WHEN dialog_count <= 10000 THEN '1001-10000' ELSE '10001+' END AS stratum FROM ({_STRATA}) s"""
 _DRAWN = f"""SELECT party, stratum, row_number() OVER (PARTITION BY stratum ORDER BY md5(concat(party, '{SEED}')), party) AS rn,
     count(*) OVER (PARTITION BY stratum) AS cap FROM ({_LABELLED}) l"""
-_SUBSET = f"""SELECT urn AS party, least(count(d.id), 4) AS dialog_count FROM cust LEFT JOIN dialog d ON d.party = urn AND (deleted OR is_api_only) GROUP BY urn"""
+_PER_CUSTOMER = "SELECT urn AS party, count(d.id) AS dialog_count FROM cust LEFT JOIN dialog d ON d.party = urn GROUP BY urn"
+
+
+def _drawn(share: str) -> str:
+    """A dialog's place in a row sample."""
+    return f"CAST(concat('0x', substr(md5(concat(CAST(id AS VARCHAR), '{SEED}')), 1, 8)) AS BIGINT) < CAST(floor({share} * 4294967296) AS BIGINT)"
 
 ENTRIES = {
     "w1_sample_distinct": (
@@ -267,7 +271,10 @@ ENTRIES = {
     ),
     "w1_sample_distinct_widening": (
         w1_sample_distinct_widening,
-        f"SELECT party FROM (SELECT DISTINCT party FROM dialog) d ORDER BY md5(concat(party, '{SEED}')), party LIMIT 60",
+        f"""WITH rounds AS (SELECT r, (SELECT count(DISTINCT party) FROM dialog WHERE r >= 12 OR {_drawn('power(2, r - 12)')}) AS n FROM range(13) t(r)),
+                 enough AS (SELECT min(r) AS r FROM rounds WHERE n >= 60 OR r = 12)
+            SELECT party FROM (SELECT DISTINCT party FROM dialog, enough WHERE r >= 12 OR {_drawn('power(2, r - 12)')}) d
+            ORDER BY md5(concat(party, '{SEED}')), party LIMIT 60""",
     ),
     "w2_heavy_hitters": (
         w2_heavy_hitters,
@@ -280,14 +287,14 @@ ENTRIES = {
     ),
     "w3_hot_party_services": (
         w3_hot_party_services,
-        f"""SELECT h.party, estimated_count, services FROM (SELECT * FROM party_dist ORDER BY estimated_count DESC, party LIMIT 150) h
+        f"""SELECT h.party, estimated_count, services FROM party_dist h
             JOIN ({_LISTED}) s ON s.party = h.party ORDER BY estimated_count DESC, h.party LIMIT 30""",
     ),
     "w3_pool_json": (
         w3_pool_json,
         f"""SELECT concat('[', string_agg(concat('{{"Party":"', party, '","EstimatedDialogCount":', CAST(estimated_count AS VARCHAR),
                    ',"Services":["', replace(services, ',', '","'), '"]}}'), ',' ORDER BY estimated_count DESC, party), ']') AS pool
-            FROM (SELECT h.party, estimated_count, services FROM (SELECT * FROM party_dist ORDER BY estimated_count DESC, party LIMIT 150) h
+            FROM (SELECT h.party, estimated_count, services FROM party_dist h
             JOIN ({_LISTED}) s ON s.party = h.party ORDER BY estimated_count DESC, h.party LIMIT 30) x""",
     ),
     "w4_party_key": (
@@ -297,11 +304,15 @@ ENTRIES = {
                               WHEN contains(urn, ':organization:identifier-no:') THEN 'o' END AS k
              FROM (SELECT DISTINCT actor_id AS urn FROM staging_actor_raw UNION ALL SELECT DISTINCT service FROM dialog) u) x""",
     ),
-    "w5_sampled_distribution": (w5_sampled_distribution, None),
+    "w5_sampled_distribution": (
+        w5_sampled_distribution,
+        f"""SELECT party, count(*) AS sample_count, greatest(1, CAST(round(count(*) / 0.2) AS BIGINT)) AS estimated_count
+           FROM dialog WHERE {_drawn('0.2')} GROUP BY party""",
+    ),
     "w5_distribution_of": (
         w5_distribution_of,
         """SELECT party, count(*) AS sample_count, greatest(1, CAST(round(count(*) / 0.3) AS BIGINT)) AS estimated_count
-           FROM dialog WHERE status_id = 2 GROUP BY party""",
+           FROM dialog GROUP BY party""",
     ),
     "w6_band_sample": (w6_band_sample, _band_sample_sql(40)),
     "w7_merge_candidate_sources": (
@@ -358,11 +369,18 @@ ENTRIES = {
                 SELECT m.attempt FROM members m JOIN party_service ps ON ps.party = m.member
                 GROUP BY m.attempt, m.service_bucket, m.party_bucket
                 HAVING count(DISTINCT ps.service) >= m.service_bucket AND count(DISTINCT m.member) = m.party_bucket) g
-                ORDER BY attempt LIMIT 45)
-            SELECT printf('case_%04d_p_%d_s_%d', case_no, party_bucket, service_bucket) AS case_id, party AS hot_party, band,
+                ORDER BY attempt LIMIT 45),
+              owned AS (SELECT DISTINCT case_no, service_bucket, service FROM good g JOIN members m ON m.attempt = g.attempt
+                JOIN party_service ps ON ps.party = m.member),
+              picked AS (SELECT case_no, string_agg(service, ',' ORDER BY service) AS services FROM (
+                SELECT *, row_number() OVER (PARTITION BY case_no ORDER BY
+                  md5(concat(service, CAST({SEED} + case_no * 1009 + service_bucket AS VARCHAR))), service) AS rn FROM owned) o
+                WHERE rn <= service_bucket GROUP BY case_no)
+            SELECT printf('case_%04d_p_%d_s_%d', g.case_no, party_bucket, service_bucket) AS case_id, party AS hot_party, band,
                    party_bucket AS party_count, service_bucket AS service_count,
-                   string_agg(member, ',' ORDER BY member) AS parties, service_bucket AS n_services
-            FROM good g JOIN members m ON m.attempt = g.attempt GROUP BY case_no, party_bucket, service_bucket, party, band""",
+                   string_agg(member, ',' ORDER BY member) AS parties, any_value(services) AS services
+            FROM good g JOIN members m ON m.attempt = g.attempt JOIN picked k ON k.case_no = g.case_no
+            GROUP BY g.case_no, party_bucket, service_bucket, party, band""",
     ),
     "w15_single_party_cases": (
         w15_single_party_cases,
@@ -390,7 +408,7 @@ ENTRIES = {
               FROM (SELECT party FROM (SELECT DISTINCT party FROM party_service) d ORDER BY md5(concat(party, '{SEED}')), party LIMIT 50) p
               JOIN party_service ps ON ps.party = p.party) x WHERE rn <= 4 GROUP BY party""",
     ),
-    "w18_capped_counts": (w18_capped_counts, _SUBSET),
+    "w18_capped_counts": (w18_capped_counts, _PER_CUSTOMER),
     "w19_stratum": (w19_stratum, _LABELLED),
     "w20_stratified_balanced": (
         w20_stratified_balanced,
@@ -427,9 +445,6 @@ ENTRIES = {
     ),
     "w22_resume_counts": (
         w22_resume_counts,
-        """WITH done AS (SELECT urn AS party FROM cust ORDER BY urn LIMIT 20)
-           SELECT party, CAST(99 AS BIGINT) AS dialog_count FROM done
-           UNION ALL SELECT urn, least(count(d.id), 4) FROM cust LEFT JOIN dialog d ON d.party = urn
-           WHERE urn NOT IN (SELECT party FROM done) GROUP BY urn""",
+        f"SELECT party, CASE WHEN md5(party) < '8' THEN CAST(99 AS BIGINT) ELSE dialog_count END AS dialog_count FROM ({_PER_CUSTOMER}) c",
     ),
 }

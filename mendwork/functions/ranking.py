@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from mendwork.functions.durable import durable
 
-# A bounded row count that one task may rank on its own.
-ONE_TASK_ROWS = 10_000
+# Parts a group is ranked in before its best rows meet.
+GROUP_PARTS = 32
 
 
 def newest_first(ts: str = "content_updated_at", key: str = "id") -> list[Column]:
@@ -83,28 +83,35 @@ def add_running_total(
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[Column], at_most: int | None = None, name: str = "position") -> DataFrame:
-    """Row number in ``order``: one window when ``at_most`` rows are known to be few, else :func:`add_position`."""
-    if at_most is not None and at_most <= ONE_TASK_ROWS:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-    return add_position(df, order, name=name)
+def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """The first ``n`` rows: a top-k per task, and one merge of what the tasks kept."""
+    return df.orderBy(*order).limit(n)
 
 
-def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows. Small ``n`` is a top-k per task; a large ``n`` is cut by distributed position."""
-    if n <= ONE_TASK_ROWS:
-        return df.orderBy(*order).limit(n)
-    return add_position(df, order, name="_position").where(F.col("_position") <= n).drop("_position")
+def rank_per(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, name: str = "_rank") -> DataFrame:
+    """The first ``n`` rows of each group with their rank, for any ``n``.
+
+    A group is ranked in two steps: first in ``GROUP_PARTS`` parts by a hash of the row, each cut to ``n`` rows, then
+    what the parts kept. So no task sorts a whole hot group, however large ``n`` is; for an ``n`` up to Spark's own
+    limit (1000) the parts are cut on the map side too.
+    """
+    hashable = [c for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(GROUP_PARTS)).cast("int")
+    inner = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
+    kept = df.withColumn("_part", part).withColumn("_inner", inner).where(F.col("_inner") <= n).drop("_inner", "_part")
+    outer = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return kept.withColumn(name, outer).where(F.col(name) <= n)
 
 
 def first_n_per(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each group.
+    """The first ``n`` rows of each group; see :func:`rank_per`."""
+    return rank_per(df, group, order, n).drop("_rank")
 
-    The literal bound lets Spark cut every group to ``n`` rows per map task before the shuffle, so a group
-    holding a third of the table sends ``n`` rows per task and no more.
-    """
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+
+def sampled(share: float, seed: int | str, *keys: Column | str) -> Column:
+    """Whether a row falls in a sample of ``share`` by the MD5 of its keys: the same on any cluster and layout."""
+    draw = F.conv(F.substring(hash_order(*keys, seed=seed), 1, 8), 16, 10).cast("long")
+    return draw < int(share * (1 << 32))
 
 
 def hash_order(*cols: Column | str, seed: int | str) -> Column:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import fnmatch
 from collections.abc import Sequence
+from itertools import count, product
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendwork.constants import BLOCK_BYTES
-from mendwork.functions.ranking import exact_percentiles, join_null_safe, number_rows
+from mendwork.functions.ranking import exact_percentiles, join_null_safe
 from mendwork.operators.search import PAYLOAD_SCHEMA
 
 # --- plan logs as JSON ------------------------------------------------------------
@@ -554,21 +555,15 @@ def plan_names(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFra
     return named.where((F.length("name") > 1) & is_name).groupBy("name").agg(F.min("first").alias("first"))
 
 
-class DictionaryFull(RuntimeError):
-    """More names than two-letter codes."""
-
-
 def dictionary_encode(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> tuple[DataFrame, DataFrame]:
-    """Replace names by two-letter codes and common terms by one-character codes: (lines, dictionary).
+    """Replace names by letter codes and common terms by one-character codes: (lines, dictionary).
 
-    There are 676 name codes; more names are an error. The dictionary, bounded by that, is the only thing
-    brought to the driver; lines are rewritten where they are.
+    Names get the two-letter codes in order of first use, then three-letter ones, and so on. The dictionary, one
+    row for each name of the plans' schema, is the only thing brought to the driver; lines are rewritten where
+    they are.
     """
-    codes = [a + b for a in _LETTERS for b in _LETTERS]
-    first = plan_names(lines, order).orderBy("first").limit(len(codes) + 1)
-    names = [r["name"] for r in number_rows(first, [F.col("first")], at_most=len(codes) + 1).orderBy("position").collect()]
-    if len(names) > len(codes):
-        raise DictionaryFull(f"more than {len(codes)} names")
+    codes = ("".join(letters) for size in count(2) for letters in product(_LETTERS, repeat=size))
+    names = [r["name"] for r in plan_names(lines, order).orderBy("first").select("name").collect()]
     name_codes = list(zip(names, codes))
     term_codes = list(zip(COMMON_TERMS, TERM_CODES))
     dictionary = lines.sparkSession.createDataFrame(

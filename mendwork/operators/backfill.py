@@ -61,49 +61,3 @@ def backfill_totals(fixes: DataFrame) -> DataFrame:
         .withColumn("running_total", F.sum("fixed").over(running))
         .orderBy("org")
     )
-
-
-def seen_scenarios(
-    spark: SparkSession, now: str = "2026-06-01", scale: float = 1.0, urns: Urns = Urns()
-) -> tuple[DataFrame, DataFrame]:
-    """Dialogs in eleven known states and their seen log: (dialogs, seen_log).
-
-    At ``scale`` 1 there are 400,000 dialogs, of which 162,001 must be fixed; id ranges shrink with ``scale``.
-    """
-    # fixed values: first id, end id (exclusive), org, migrated app, content date, mask, seen date
-    ranges = (
-        (0, 20_000, "acn", True, "2026-01-01", 1, None),
-        (20_000, 40_000, "skd", True, "2026-01-01", 8, "2025-12-24"),
-        (40_000, 60_000, "brg", True, "2026-01-01", 8, None),
-        (60_000, 80_000, "svv", True, "2026-01-01", 1, "2025-12-24"),
-        (100_000, 200_000, "ttd", False, "2026-01-01", 1, now),
-        (200_000, 260_000, "ttd", False, "2026-01-01", 1, "2025-12-24"),
-        (260_000, 300_000, "ttd", False, "2026-02-01", 1, None),
-        (300_000, 330_000, "ttd", False, "2026-02-01", 8, None),
-        (330_000, 350_000, "ttd", False, "2026-02-01", 8, now),
-        (350_000, 352_001, "ttd", False, "2026-02-01", 24, now),
-        (355_000, 365_000, "ttd", False, "2026-02-01", 8, "2025-12-24"),
-    )
-    ids = spark.range(int(400_000 * scale))
-
-    def pick(index: int, default):
-        value = F.when(F.lit(False), F.lit(default))
-        for row in ranges:
-            lo, hi = int(row[0] * scale), int(row[1] * scale)
-            value = value.when((F.col("id") >= lo) & (F.col("id") < hi), F.lit(row[index]))
-        return value.otherwise(F.lit(default))
-
-    org = pick(2, "ttd")
-    service = F.when(
-        pick(3, False), F.concat(F.lit(urns.resource + "app_"), org, F.lit("_a2-2802-10793"))
-    ).otherwise(F.lit(urns.resource + "ttd-service"))
-    dialogs = ids.select(
-        "id",
-        org.alias("org"),
-        service.alias("service"),
-        pick(4, "2000-01-01").cast("timestamp_ntz").alias("content_updated_at"),
-        pick(5, 1).cast("int").alias("mask"),
-        F.lit(True).alias("is_seen"),
-    )
-    seen = ids.select(F.col("id").alias("dialog_id"), pick(6, None).cast("timestamp_ntz").alias("created_at"))
-    return dialogs, seen.where(F.col("created_at").isNotNull())

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from mendwork.constants import OUTCOME_MANUAL_SKIP, OUTCOME_STATE_CHANGED, OUTCOME_UPDATED
 from mendwork.functions.columns import Moment, moment, seconds_between
-from mendwork.functions.ranking import ONE_TASK_ROWS, add_position, first_n
+from mendwork.functions.durable import durable
+from mendwork.functions.ranking import add_position
 
 STATE_COLUMNS = ("enqueued_at", "processed_at", "worker_id", "outcome")
 
@@ -71,10 +72,7 @@ def claim(
     """
     payload = [c for c in candidates.columns if c not in STATE_COLUMNS]
     order = [F.col(k).asc_nulls_last() for k in keys]
-    open_ = candidates.where(_pending()).select(*payload)
-    if max_batches is not None and max_batches * batch_size <= ONE_TASK_ROWS:
-        open_ = first_n(open_, order, max_batches * batch_size)
-    placed = add_position(open_, order)
+    placed = add_position(candidates.where(_pending()).select(*payload), order)
     batch = F.floor((F.col("position") - 1) / F.lit(batch_size)).cast("long")
     out = placed.select(
         *payload,
@@ -95,20 +93,28 @@ def apply_update(
 
     ``on`` maps target key columns to claimed columns. ``set_`` and ``guard`` refer to the two sides as
     ``t.<column>`` and ``c.<column>``; a null guard means no change. Returns the new target and the claimed
-    keys that were changed. Claimed keys must be unique.
+    keys that were changed, once each. Of claims that repeat a key the smallest payload counts, so no target row
+    is multiplied. The target is joined once: the result is stored, and both frames read it.
     """
+    keys = list(on.values())
+    payload = [c for c in claimed.columns if c not in keys]
+    least = F.min(F.struct(*payload)) if payload else F.min(F.lit(0))
+    one = claimed.groupBy(*keys).agg(least.alias("_payload"), F.lit(True).alias("_claimed"))
+    c = one.select(*keys, *([F.col(f"_payload.{p}").alias(p) for p in payload]), "_claimed").alias("c")
     t = target.alias("t")
-    c = claimed.withColumn("_claimed", F.lit(True)).alias("c")
     match = [F.col(f"t.{tk}") == F.col(f"c.{ck}") for tk, ck in on.items()]
     hit = F.coalesce(F.col("c._claimed") & guard, F.lit(False))
-    new_target = t.join(c, match, "left").select(
+    joined = t.join(c, match, "left").select(
         *[
             F.when(hit, set_[col]).otherwise(F.col(f"t.{col}")).alias(col) if col in set_ else F.col(f"t.{col}")
             for col in target.columns
-        ]
+        ],
+        hit.alias("_hit"),
+        *[F.col(f"c.{k}").alias(f"_key_{k}") for k in keys],
     )
-    touched = t.join(c, match).where(guard).select(*[F.col(f"c.{ck}") for ck in on.values()]).distinct()
-    return new_target, touched
+    stored = durable(joined)
+    touched = stored.where("_hit").select(*[F.col(f"_key_{k}").alias(k) for k in keys]).distinct()
+    return stored.select(*target.columns), touched
 
 
 def mark(

@@ -7,11 +7,12 @@ mask, is_api_only. Permissions come from :func:`explode_permissions`.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mendwork.constants import CONTEXT_PAGE_SIZE, PAGE_SIZE, TEXT_CAPS
+from mendwork.constants import CONTEXT_PAGE_SIZE, PAGE_SIZE
 from mendwork.functions.columns import Moment
 from mendwork.functions.ranking import first_n, first_n_per, newest_first
 from mendwork.functions.text import text_matches
@@ -42,35 +43,57 @@ def explode_permissions(
     raise ValueError(f"by must be 'party' or 'service', not {by!r}")
 
 
-def permission_pairs(perms: DataFrame, case: Sequence[str] = ()) -> DataFrame:
-    """(group, party, service) rows. Membership lists count once per value; driving rows keep their repeats."""
-    group = [c for c in ("group_no",) if c in perms.columns]
-    if "services" in perms.columns:
-        return perms.select(*case, *group, "party", F.explode(F.array_distinct("services")).alias("service"))
-    return perms.select(*case, *group, F.explode(F.array_distinct("parties")).alias("party"), "service")
+class Permissions(NamedTuple):
+    """Permission groups as two narrow tables, never their product: (case, group_no, party) and (case, group_no, service).
+
+    The driving side keeps the repeats of its list; the other side counts once per value.
+    """
+
+    parties: DataFrame
+    services: DataFrame
+
+
+def permission_tables(
+    payloads: DataFrame, by: str = "party", payload: str = "payload", case: Sequence[str] = ()
+) -> Permissions:
+    """The groups of ``payloads``, driven by party or by service."""
+    groups = payloads.select(
+        *case, F.posexplode(F.from_json(F.col(payload), PAYLOAD_SCHEMA)).alias("group_no", "_g")
+    )
+    key = [*case, "group_no"]
+    parties = groups.select(*key, F.explode("_g.Parties").alias("party"))
+    services = groups.select(*key, F.explode("_g.Services").alias("service"))
+    if by == "party":
+        return Permissions(parties, services.distinct())
+    if by == "service":
+        return Permissions(parties.distinct(), services)
+    raise ValueError(f"by must be 'party' or 'service', not {by!r}")
+
+
+def _permitted(seen: DataFrame, perms: Permissions, case: Sequence[str]) -> DataFrame:
+    """Rows of ``seen`` for each group that permits them: by party first, then by (group, service)."""
+    return seen.join(perms.parties, "party").join(perms.services, [*case, "group_no", "service"])
 
 
 def _permitted_page(
-    dialogs: DataFrame, pairs: DataFrame, as_of: Moment, k: int, case: Sequence[str], distinct: bool, **visibility
+    dialogs: DataFrame, perms: Permissions, as_of: Moment, k: int, case: Sequence[str], distinct: bool, **visibility
 ) -> DataFrame:
     seen = dialogs.where(visible(as_of, **visibility)).select("id", "party", "service", "content_updated_at")
     order = newest_first()
+    if case:
+        # Many cases share parties and services: cut every used pair of them to k rows once, then rank the rest per case.
+        used = seen.join(perms.parties.select("party").distinct(), "party", "left_semi")
+        used = used.join(perms.services.select("service").distinct(), "service", "left_semi")
+        seen = first_n_per(used, ["party", "service"], order, k)
+    found = _permitted(seen, perms, case).select(*case, "id", "content_updated_at")
     if distinct:
-        pairs = pairs.select(*case, "party", "service").distinct()
-    if not case:
-        # Newest k overall needs no per-driver limit first: each task keeps its own newest k rows.
-        return first_n(seen.join(pairs, ["party", "service"]).select("id", "content_updated_at"), order, k)
-    # Many cases share the same pairs: cut every used pair to k rows once, then rank the rest per case.
-    used = pairs.select("party", "service").distinct()
-    newest = first_n_per(seen.join(used, ["party", "service"], "left_semi"), ["party", "service"], order, k)
-    return first_n_per(newest.join(pairs, ["party", "service"]), case, order, k).select(
-        *case, "id", "content_updated_at"
-    )
+        found = found.distinct()
+    return first_n_per(found, case, order, k) if case else first_n(found, order, k)
 
 
 def search_party_driven(
     dialogs: DataFrame,
-    perms: DataFrame,
+    perms: Permissions,
     as_of: Moment,
     k: int = PAGE_SIZE,
     case: Sequence[str] = (),
@@ -80,22 +103,23 @@ def search_party_driven(
     """Newest ``k`` visible records over all permitted (party, service) pairs, per case if ``case`` is given.
 
     A party listed in two groups yields its records twice, which use up the page; ``distinct=True`` drops
-    such repeats first. Permissions are joined on equality of party and service, so either side may be large.
+    such repeats first. Permissions are joined on equality of party, then of group and service, so either side
+    may be large.
     """
-    return _permitted_page(dialogs, permission_pairs(perms, case), as_of, k, case, distinct, **visibility)
+    return _permitted_page(dialogs, perms, as_of, k, case, distinct, **visibility)
 
 
 def search_service_driven(
     dialogs: DataFrame,
-    perms: DataFrame,
+    perms: Permissions,
     as_of: Moment,
     k: int = PAGE_SIZE,
     case: Sequence[str] = (),
     distinct: bool = False,
     **visibility,
 ) -> DataFrame:
-    """As :func:`search_party_driven`, driven by service rows that list their parties."""
-    return _permitted_page(dialogs, permission_pairs(perms, case), as_of, k, case, distinct, **visibility)
+    """As :func:`search_party_driven` with permissions driven by service."""
+    return _permitted_page(dialogs, perms, as_of, k, case, distinct, **visibility)
 
 
 def search_single_party(
@@ -117,29 +141,34 @@ def fetch_page(ids: DataFrame, dialogs: DataFrame, case: Sequence[str] = ()) ->
 
 def search_dialog_first_text(
     dialogs: DataFrame,
-    perms: DataFrame,
+    perms: Permissions,
     tokens: DataFrame,
     query: str,
     as_of: Moment,
-    caps: tuple[int, int, int] = TEXT_CAPS,
+    k: int = PAGE_SIZE,
+    per_driver: int | None = None,
+    overall: int | None = None,
     **visibility,
 ) -> DataFrame:
-    """Newest candidates first, text match second.
+    """The newest ``k`` permitted records whose text matches. Tokens: doc_id, tokens.
 
-    Per permission row the newest ``caps[0]`` records, of those the newest ``caps[1]`` overall, of those the
-    newest ``caps[2]`` that match. The caps are the meaning of this search: a match older than the last
-    candidate is not found. Tokens: doc_id, tokens.
+    By default every permitted record is a candidate. With ``per_driver`` only the newest so many of each (group,
+    party) are, with ``overall`` only the newest so many of all: then a match older than the last candidate is
+    not found, as ``TEXT_CAPS`` has it. Only candidates' texts are tested.
     """
-    per_driver, overall, k = caps
     visibility = {"statuses": None, "exclude_api_only": True, **visibility}
     order = newest_first()
     seen = dialogs.where(visible(as_of, **visibility)).select("id", "party", "service", "content_updated_at")
-    permitted = seen.join(permission_pairs(perms), ["party", "service"])
-    drivers = [c for c in ("group_no", "party") if c in permitted.columns]
-    newest = first_n_per(permitted, drivers, order, per_driver).select("id", "content_updated_at")
-    candidates = first_n(newest, order, overall)
-    matching = tokens.where(text_matches(F.col("tokens"), query)).select(F.col("doc_id").alias("id"))
-    return first_n(candidates.join(matching, "id"), order, k)
+    candidates = _permitted(seen, perms, ())
+    if per_driver is not None:
+        candidates = first_n_per(candidates, ["group_no", "party"], order, per_driver)
+    candidates = candidates.select("id", "content_updated_at")
+    if overall is not None:
+        candidates = first_n(candidates, order, overall)
+    # The condition names both sides, so it stays in the join and is not tested on texts of no candidate.
+    own = F.when(F.col("id").isNotNull(), F.col("tokens"))
+    found = candidates.join(tokens.select("doc_id", "tokens"), (F.col("id") == F.col("doc_id")) & text_matches(own, query))
+    return first_n(found.select("id", "content_updated_at"), order, k)
 
 
 def dialog_labels(

@@ -1,26 +1,22 @@
-"""Exports, sample files and versioned tables."""
+"""Exports and sample files."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many batches the audit trail is one file; beyond it, files in batch order.
-ONE_FILE_ROWS = 1_000_000
 # Microseconds are kept; the CSV defaults cut times to milliseconds.
 LOCAL_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 ZONED_TIME = LOCAL_TIME + "XXX"
 
 
 def export_batch_log(log: DataFrame, path: str, key: str = "batch_id") -> None:
-    """The batch log as CSV with header, in batch order."""
-    ordered = log.orderBy(key)
-    few = log.limit(ONE_FILE_ROWS + 1).count() <= ONE_FILE_ROWS
+    """The batch log as CSV files with headers, whose names are in batch order."""
     (
-        (ordered.coalesce(1) if few else ordered)
+        log.orderBy(key)
         .write.mode("overwrite")
         .option("header", True)
         .option("timestampFormat", ZONED_TIME)
@@ -43,23 +39,3 @@ def write_sample_outputs(
     spark = sample.sparkSession
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/metadata")
 
-
-def publish(spark: SparkSession, root: str, version: int, tables: Mapping[str, DataFrame]) -> None:
-    """Write new versions of several tables, then one manifest that names them.
-
-    Readers follow the newest manifest, so they see all tables of a version or none. Old versions stay.
-    """
-    paths = []
-    for name, df in tables.items():
-        path = f"{root}/data/{name}/v{version:06d}"
-        df.write.mode("overwrite").parquet(path)
-        paths.append((name, path))
-    manifest = spark.createDataFrame(paths, "table string, path string").coalesce(1)
-    manifest.write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
-
-
-def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The tables of the newest manifest; a manifest has one row per table."""
-    manifest = spark.read.parquet(f"{root}/manifest")
-    newest = manifest.agg(F.max("version")).first()[0]
-    return {r["table"]: spark.read.parquet(r["path"]) for r in manifest.where(F.col("version") == newest).collect()}

@@ -45,12 +45,29 @@ def test_exact_percentiles_match_brute_force(skewed):
         assert got[g]["n90"] == vs[max(0, math.ceil(0.9 * len(vs)) - 1)]
 
 
-def test_first_n_large_and_small_agree(skewed, monkeypatch):
+def test_first_n(skewed):
     _, df = skewed
-    order = [F.col("id").desc()]
-    small = {r["id"] for r in ranking.first_n(df, order, 500).collect()}
-    monkeypatch.setattr(ranking, "ONE_TASK_ROWS", 10)
-    assert {r["id"] for r in ranking.first_n(df, order, 500).collect()} == small == set(range(2500, 3000))
+    assert {r["id"] for r in ranking.first_n(df, [F.col("id").desc()], 500).collect()} == set(range(2500, 3000))
+
+
+@pytest.mark.parametrize("n", [1, 1001, 2500, 10_000])
+def test_first_n_per_never_ranks_a_whole_group_in_one_task(spark, n):
+    rows = spark.range(30_000).select("id", (F.col("id") % 3 % 2).alias("g"), (F.col("id") * 7919 % 30_011).alias("v"))
+    order = [F.col("v").desc(), F.col("id")]
+    got = {g: [r["id"] for r in part] for g, part in _by(ranking.first_n_per(rows, ["g"], order, n).collect(), "g").items()}
+    for g, part in _by(rows.collect(), "g").items():
+        want = sorted(part, key=lambda r: (-r["v"], r["id"]))[:n]
+        assert sorted(got[g]) == sorted(r["id"] for r in want)
+    inner = rows.withColumn("_part", F.pmod(F.xxhash64("id", "g", "v"), F.lit(ranking.GROUP_PARTS)))
+    most = max(r["count"] for r in inner.groupBy("g", "_part").count().collect())
+    assert most <= 2 * 20_000 / ranking.GROUP_PARTS
+
+
+def _by(rows, key):
+    out = {}
+    for r in rows:
+        out.setdefault(r[key], []).append(r)
+    return out
 
 
 def test_uuid7_is_valid_and_repeatable(spark):

@@ -106,14 +106,6 @@ def test_dictionary_can_be_read_back(spark):
     assert "AA" in first and "AB" in first and "IX_A" not in first
 
 
-def test_published_tables_follow_the_newest_manifest(spark, tmp_path):
-    root = str(tmp_path / "store")
-    sinks.publish(spark, root, 1, {"a": spark.range(3), "b": spark.range(4)})
-    sinks.publish(spark, root, 2, {"a": spark.range(5), "b": spark.range(6)})
-    now = sinks.read_published(spark, root)
-    assert {k: d.count() for k, d in now.items()} == {"a": 5, "b": 6}
-
-
 def test_multiset_diff_equals_except_all(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
     b = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (4, "z")], "k int, v string")
