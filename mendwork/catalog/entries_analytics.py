@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
@@ -140,14 +140,47 @@ def snk2_write_sample_outputs(v: Views) -> DataFrame:
 # --- plan logs ----------------------------------------------------------------------
 
 
+def _broken() -> Column:
+    """Plans of which some are cut off, hold no plan, or are missing; index names hold JSON escapes."""
+    return (
+        F.when(F.col("run_id") % 11 == 3, F.substring("plan", 1, 90))
+        .when(F.col("run_id") % 11 == 5, F.lit('[{"Planning Time": 1.5}]'))
+        .when(F.col("run_id") % 11 == 7, F.lit(None).cast("string"))
+        .otherwise(F.regexp_replace("plan", '"IX_([0-9])"', r'"IX\\"$1\\u0041"'))
+    )
+
+
 def m1_plan_metrics(v: Views) -> DataFrame:
-    return m.plan_metrics(v.plan_json).select(
-        "run_id", "planning_time_ms", "execution_time_ms", "actual_rows", "shared_hit_blocks", "shared_read_blocks",
+    return m.plan_metrics(v.plan_json.withColumn("plan", _broken())).select(
+        "run_id", "parse_error", "planning_time_ms", "execution_time_ms", "actual_rows", "shared_hit_blocks", "shared_read_blocks",
         "temp_read_blocks", "rows_removed", "node_types", "index_names", "relation_names",
         F.round("shared_hit_ratio", 6).alias("shared_hit_ratio"),
     )
 
 
+def src9_manifest(v: Views) -> DataFrame:
+    """The manifest written as CSV and read back, joined to the metrics of its plans; some runs failed or left no log."""
+    runs = v.sql(
+        """SELECT event_id AS run_id, concat('case_', CAST(event_id AS VARCHAR(20))) AS case_id, event_id % 3 + 1 AS pass,
+                  event_id % 2 AS run_index, event_type AS variant, user_id % 30 AS party_count, user_id % 50 AS service_count,
+                  CAST(user_id AS VARCHAR(20)) AS hot_party, CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS exit_code FROM events"""
+    )
+    path = _folder(v)
+    known = {c: F.col(c).cast("string") for c in runs.columns}
+    names = [f.split()[0] for f in logs.MANIFEST_SCHEMA.split(", ")]
+    runs.select(*[known.get(n, F.lit(None).cast("string")).alias(n) for n in names]).write.option("header", True).csv(path)
+    plans = v.plan_json.withColumn("plan", _broken()).join(runs.select("run_id", "case_id", "pass", "run_index", "variant"), "run_id")
+    metrics = m.plan_metrics(plans.where(F.col("run_id") % 13 != 0).drop("run_id"))
+    return m.with_manifest(logs.read_manifest(v.spark, path), metrics).select(
+        "case_id", "variant", "party_count", "service_count", "hot_party", "parse_error", "execution_time_ms"
+    )
+
+
+def m8_winners_manifest(v: Views) -> DataFrame:
+    """A run without a readable plan never wins."""
+    return m.winners(src9_manifest(v).withColumn("pair", F.col("party_count") % 5), case=["pair", "service_count"]).drop("party_count")
+
+
 def m2_plan_text_metrics(v: Views) -> DataFrame:
     blocks = m.split_blocks(v.plan_line.select("file", "chunk", F.col("pos").alias("at"), "line")).withColumnRenamed("at", "line_no")
     return m.plan_text_metrics(blocks)
@@ -349,6 +382,19 @@ _DIFF = """SELECT l_orderkey, l_linenumber, l_returnflag, CASE WHEN sum(s) > 0 T
       UNION ALL SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0.07 THEN NULL ELSE l_returnflag END, -1 FROM lineitem) u
     GROUP BY l_orderkey, l_linenumber, l_returnflag HAVING sum(s) <> 0"""
 
+_ERROR = """(CASE event_id % 11 WHEN 3 THEN 'not a JSON plan' WHEN 5 THEN 'no plan in the log' WHEN 7 THEN 'no plan log' END)"""
+
+
+def _ok(value: str) -> str:
+    return f"CASE WHEN {_ERROR} IS NULL THEN {value} END"
+
+
+_MANIFEST = f"""SELECT concat('case_', CAST(event_id AS VARCHAR)) AS case_id, event_type AS variant, CAST(user_id % 30 AS INTEGER) AS party_count,
+       CAST(user_id % 50 AS INTEGER) AS service_count, CAST(user_id AS VARCHAR) AS hot_party,
+       CASE WHEN event_id % 13 = 0 THEN 'no plan log' ELSE {_ERROR} END AS parse_error,
+       CASE WHEN event_id % 13 <> 0 THEN {_ok('user_id + CAST(0.5 AS DOUBLE)')} END AS execution_time_ms
+    FROM events WHERE event_id % 7 <> 0"""
+
 ENTRIES = {
     "src1_read_label_staging": (
         src1_read_label_staging,
@@ -398,18 +444,27 @@ ENTRIES = {
     ),
     "m1_plan_metrics": (
         m1_plan_metrics,
-        """SELECT event_id AS run_id, CAST(1.25 AS DOUBLE) AS planning_time_ms, user_id + CAST(0.5 AS DOUBLE) AS execution_time_ms,
-                  CAST(user_id AS DOUBLE) AS actual_rows, CAST(event_id % 1000 AS DOUBLE) AS shared_hit_blocks,
-                  CAST(event_id % 5 AS DOUBLE) AS shared_read_blocks, CAST(0 AS DOUBLE) AS temp_read_blocks,
-                  event_id % 6 + event_id % 4 AS rows_removed, 'Index Scan:2|Limit:1|Nested Loop:1' AS node_types,
-                  CASE WHEN user_id % 9 = event_id % 3 THEN concat('IX_', CAST(user_id % 9 AS VARCHAR), ':2')
-                       ELSE concat('IX_', CAST(least(user_id % 9, event_id % 3) AS VARCHAR), ':1|IX_',
-                                   CAST(greatest(user_id % 9, event_id % 3) AS VARCHAR), ':1') END AS index_names,
-                  'Dialog:1' AS relation_names,
-                  CASE WHEN event_id % 1000 + event_id % 5 > 0
+        f"""SELECT event_id AS run_id, {_ERROR} AS parse_error, {_ok('CAST(1.25 AS DOUBLE)')} AS planning_time_ms,
+                  {_ok('user_id + CAST(0.5 AS DOUBLE)')} AS execution_time_ms,
+                  {_ok('CAST(user_id AS DOUBLE)')} AS actual_rows, {_ok('CAST(event_id % 1000 AS DOUBLE)')} AS shared_hit_blocks,
+                  {_ok('CAST(event_id % 5 AS DOUBLE)')} AS shared_read_blocks, {_ok('CAST(0 AS DOUBLE)')} AS temp_read_blocks,
+                  {_ok('event_id % 6 + event_id % 4')} AS rows_removed, {_ok("'Index Scan:2|Limit:1|Nested Loop:1'")} AS node_types,
+                  CASE WHEN {_ERROR} IS NOT NULL THEN NULL
+                       WHEN user_id % 9 = event_id % 3 THEN concat('IX"', CAST(user_id % 9 AS VARCHAR), 'A:2')
+                       ELSE concat('IX"', CAST(least(user_id % 9, event_id % 3) AS VARCHAR), 'A:1|IX"',
+                                   CAST(greatest(user_id % 9, event_id % 3) AS VARCHAR), 'A:1') END AS index_names,
+                  {_ok("'Dialog:1'")} AS relation_names,
+                  CASE WHEN event_id % 1000 + event_id % 5 > 0 AND {_ERROR} IS NULL
                        THEN round((event_id % 1000) / CAST(event_id % 1000 + event_id % 5 AS DOUBLE), 6) END AS shared_hit_ratio
            FROM events""",
     ),
+    "src9_manifest": (src9_manifest, _MANIFEST),
+    "m8_winners_manifest": (
+        m8_winners_manifest,
+        f"""SELECT party_count % 5 AS pair, service_count, arg_min(variant, (execution_time_ms, variant)) AS winner,
+                   min(execution_time_ms) AS execution_time_ms
+            FROM ({_MANIFEST}) x WHERE execution_time_ms IS NOT NULL GROUP BY 1, 2""",
+    ),
     "m2_plan_text_metrics": (
         m2_plan_text_metrics,
         rf"""SELECT p."case", p.variant, e.exec_ms, {_shared('read')}, {_shared('hit')}, {_shared('dirtied')}

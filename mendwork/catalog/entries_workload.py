@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from mendwork.catalog.views import Views
 from mendwork.functions.columns import party_key, stratum
 from mendwork.functions.durable import durable
-from mendwork.functions.ranking import first_n
 from mendwork.operators import workload as w
 
 SEED = 7

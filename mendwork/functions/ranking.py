@@ -30,6 +30,23 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, match, how).drop(*[f"_right_{k}" for k in keys])
 
 
+# Parts that rows with a null key are dealt into.
+NULL_PARTS = 1024
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash over all columns of a row that can be hashed."""
+    return F.xxhash64(*[F.col(c) for c, kind in df.dtypes if "map<" not in kind and kind != "variant"])
+
+
+def left_join_spread(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join on a key that may be null: rows with a null key match nothing and are spread over many tasks."""
+    part = F.when(F.col(key).isNull(), F.pmod(row_hash(left), F.lit(NULL_PARTS))).otherwise(F.lit(0).cast("bigint"))
+    # Always 0, but of a column, so that it stays part of the join key.
+    zero = F.pmod(F.xxhash64(key), F.lit(1).cast("bigint"))
+    return left.withColumn("_spread", part).join(right.withColumn("_spread", zero), [key, "_spread"], "left").drop("_spread")
+
+
 def add_position(
     df: DataFrame, order: Sequence[Column], group: Sequence[str] = (), name: str = "position"
 ) -> DataFrame:
@@ -95,8 +112,7 @@ def rank_per(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: in
     what the parts kept. So no task sorts a whole hot group, however large ``n`` is; for an ``n`` up to Spark's own
     limit (1000) the parts are cut on the map side too.
     """
-    hashable = [c for c, kind in df.dtypes if "map<" not in kind and kind != "variant"]
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in hashable]), F.lit(GROUP_PARTS)).cast("int")
+    part = F.pmod(row_hash(df), F.lit(GROUP_PARTS)).cast("int")
     inner = F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order))
     kept = df.withColumn("_part", part).withColumn("_inner", inner).where(F.col("_inner") <= n).drop("_inner", "_part")
     outer = F.row_number().over(Window.partitionBy(*group).orderBy(*order))

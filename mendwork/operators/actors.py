@@ -27,7 +27,7 @@ from mendwork.constants import (
 )
 from mendwork.functions.columns import Moment, canonical_organization, has_prefix, moment, reorder_name, urn_parts, uuid7
 from mendwork.functions.durable import durable
-from mendwork.functions.ranking import add_position
+from mendwork.functions.ranking import add_position, left_join_spread, sampled
 from mendwork.operators.harness import apply_update, check
 
 
@@ -253,11 +253,12 @@ def classify_staging(
 
     ``sample=(percent, seed)`` reads a repeatable row sample; then only the proportions mean anything.
     """
+    content = ("dialog_id", "dialog_activity_id", "source_ts", "actor_id", "actor_name", "activity_type")
     if sample is not None:
-        staging = staging.sample(fraction=sample[0] / 100.0, seed=sample[1])
+        staging = staging.where(sampled(sample[0] / 100.0, sample[1], *content))
     # Equal staged rows share their reason: count them first, so a hot activity id is one row per content.
     staged = (
-        staging.groupBy("dialog_id", "dialog_activity_id", "source_ts", "actor_id", "actor_name", "activity_type")
+        staging.groupBy(*content)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_expected", _expected_type(F.col("activity_type")))
     )
@@ -271,7 +272,7 @@ def classify_staging(
     # A row reaches this test only if it matches its activity fully, so disagreement can be read off the
     # staged rows alone.
     ambiguous = (
-        _staged_matches(staging)
+        _staged_matches(staged)
         .where(~F.col("_agreed"))
         .select(
             F.col("id").alias("dialog_activity_id"),
@@ -299,9 +300,9 @@ def classify_staging(
         .when(F.col("act_name").eqNullSafe(F.col("target")), F.lit("9_already_correct"))
         .otherwise(F.lit("0_candidate"))
     )
+    marked = rows.join(ambiguous, ["dialog_activity_id", "dialog_id", "source_ts", "_expected"], "left")
     return (
-        rows.join(ambiguous, ["dialog_activity_id", "dialog_id", "source_ts", "_expected"], "left")
-        .join(performers, "a_id", "left")
+        left_join_spread(marked, performers, "a_id")
         .join(named, ["actor_id", "actor_name"], "left")
         .groupBy(reason.alias("reason"))
         .agg(F.sum("_n").alias("staging_rows"))
@@ -421,7 +422,7 @@ def remap_entities(
         raise RemapError(f"{wrong} malformed rows do not map to exactly one canonical row")
 
     def repoint(df: DataFrame, column: str) -> DataFrame:
-        moved = df.join(remap.withColumnRenamed("bad_id", column), column, "left")
+        moved = left_join_spread(df, remap.withColumnRenamed("bad_id", column), column)
         return moved.select(
             *[F.coalesce("good_id", column).alias(c) if c == column else F.col(c) for c in df.columns]
         )

@@ -49,14 +49,28 @@ PLAN_COUNTERS = (
 ROWS_REMOVED_FIELDS = ("Rows Removed by Filter", "Rows Removed by Join Filter")
 
 
-def _texts(plan: Column, field: str) -> Column:
-    """All string values of a field anywhere in the tree. Quotes inside JSON text are escaped, so an
-    unescaped field name is a field."""
-    return F.regexp_extract_all(plan, F.lit(rf'(?<!\\)"{field}"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
+_SEARCHED = [field for _, field in PLAN_COUNTERS] + list(ROWS_REMOVED_FIELDS)
+# Quotes inside JSON text are escaped, so an unescaped field name is a field. One search finds all wanted pairs.
+_PAIR = rf'(?<!\\)"(?:{"|".join(_SEARCHED)})"\s*:\s*(?:"(?:[^"\\]|\\.)*"|-?[0-9.eE+-]+)'
+_PAIR_PARTS = r'^"([^"]+)"\s*:\s*"?((?:[^"\\]|\\.)*)"?$'
 
 
-def _numbers(plan: Column, field: str) -> Column:
-    return F.regexp_extract_all(plan, F.lit(rf'(?<!\\)"{field}"\s*:\s*(-?[0-9.eE+-]+)'), F.lit(1))
+def _pairs(plan: Column) -> Column:
+    """The searched fields anywhere in the tree, in order: an array of (field, value), JSON escapes taken out."""
+
+    def read(pair: Column) -> Column:
+        raw = F.regexp_extract(pair, _PAIR_PARTS, 2)
+        text = F.get(F.from_json(F.concat(F.lit('["'), raw, F.lit('"]')), "array<string>"), F.lit(0))
+        return F.struct(
+            F.regexp_extract(pair, _PAIR_PARTS, 1).alias("field"),
+            F.when(raw.contains("\\"), text).otherwise(raw).alias("value"),
+        )
+
+    return F.transform(F.regexp_extract_all(plan, F.lit(_PAIR), F.lit(0)), read)
+
+
+def _values(pairs: Column, *fields: str) -> Column:
+    return F.transform(F.filter(pairs, lambda p: p["field"].isin(*fields)), lambda p: p["value"])
 
 
 def _counted(names: Column) -> Column:
@@ -71,41 +85,60 @@ def _counted(names: Column) -> Column:
 def plan_metrics(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
     """Metrics of JSON plans, one row per log; the other columns are kept and the plan text is dropped.
 
-    Times and block counts come from the root node (missing is 0), the hit ratio is null without blocks, and
-    removed rows and name counts cover the whole tree. All of it is string work inside one scan.
+    Times and block counts come from the root node (a field missing there is 0), the hit ratio is null without
+    blocks, and removed rows and name counts cover the whole tree. A text that is no plan has null metrics and says
+    why in ``parse_error``, which is null otherwise. All of it is string work inside one scan.
     """
     text = F.col(plan)
     node = ", ".join(f"`{field}`: double" for _, field in PLAN_FIELDS)
     shape = f"array<struct<`Plan`: struct<{node}>, `Planning Time`: double, `Execution Time`: double, `JIT`: string>>"
     top = F.col("_root")[0]
-    fields = [F.coalesce(top["Plan"][field], F.lit(0.0)).alias(name) for name, field in PLAN_FIELDS]
-    removed = reduce(
-        lambda a, b: a + b,
-        [
-            F.aggregate(_numbers(text, f), F.lit(0.0), lambda acc, x: acc + F.coalesce(x.try_cast("double"), F.lit(0.0)))
-            for f in ROWS_REMOVED_FIELDS
-        ],
+    error = (
+        F.when(F.col(plan).isNull(), F.lit("no plan log"))
+        .when(top.isNull(), F.lit("not a JSON plan"))
+        .when(top["Plan"].isNull(), F.lit("no plan in the log"))
+    )
+
+    def of_plan(value: Column) -> Column:
+        return F.when(F.col("parse_error").isNull(), value)
+
+    fields = [of_plan(F.coalesce(top["Plan"][field], F.lit(0.0))).alias(name) for name, field in PLAN_FIELDS]
+    removed = F.aggregate(
+        _values(F.col("_pairs"), *ROWS_REMOVED_FIELDS),
+        F.lit(0.0),
+        lambda acc, x: acc + F.coalesce(x.try_cast("double"), F.lit(0.0)),
     )
     kept = [c for c in plan_logs.columns if c != plan]
     blocks = F.col("shared_hit_blocks") + F.col("shared_read_blocks")
-    # The text is parsed once and searched once per field; the second step counts over the found arrays.
-    read = plan_logs.select(
-        *kept,
-        F.from_json(text, shape).alias("_root"),
-        removed.cast("long").alias("rows_removed"),
-        *[_texts(text, field).alias(f"_{name}") for name, field in PLAN_COUNTERS],
-    )
+    # The text is parsed once and searched once; the second step counts over the found pairs.
+    read = plan_logs.select(*kept, plan, F.from_json(text, shape).alias("_root"), _pairs(text).alias("_pairs"))
+    read = read.withColumn("parse_error", error).drop(plan)
     return read.select(
         *kept,
-        F.coalesce(top["Planning Time"], F.lit(0.0)).alias("planning_time_ms"),
-        F.coalesce(top["Execution Time"], F.lit(0.0)).alias("execution_time_ms"),
+        "parse_error",
+        of_plan(F.coalesce(top["Planning Time"], F.lit(0.0))).alias("planning_time_ms"),
+        of_plan(F.coalesce(top["Execution Time"], F.lit(0.0))).alias("execution_time_ms"),
         *fields,
-        "rows_removed",
-        *[_counted(F.col(f"_{name}")).alias(name) for name, _ in PLAN_COUNTERS],
+        of_plan(removed.cast("long")).alias("rows_removed"),
+        *[of_plan(_counted(_values(F.col("_pairs"), field))).alias(name) for name, field in PLAN_COUNTERS],
         top["JIT"].alias("jit"),
     ).withColumn("shared_hit_ratio", F.when(blocks > 0, F.col("shared_hit_blocks") / blocks))
 
 
+def with_manifest(manifest: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Manifest rows of runs that ended well (exit code 0) with the metrics of their plan.
+
+    Both sides are keyed by case_id, pass, run_index, variant. A run whose plan log is missing stays, with null
+    metrics and its ``parse_error``; runs that failed are left out whatever they logged.
+    """
+    key = ["case_id", "pass", "run_index", "variant"]
+    ended = manifest.where(F.col("exit_code") == 0)
+    new = [c for c in metrics.columns if c in key or c not in manifest.columns]
+    joined = ended.join(metrics.select(*new).withColumn("_logged", F.lit(True)), key, "left")
+    missing = F.when(F.col("_logged").isNull(), F.lit("no plan log")).otherwise(F.col("parse_error"))
+    return joined.withColumn("parse_error", missing).drop("_logged")
+
+
 def counter_rows(metrics: DataFrame, keys: Sequence[str], counter: str) -> DataFrame:
     """Total count per name of a ``name:count|...`` column within ``keys``: keys, name, n."""
     item = F.explode(F.split(F.col(counter), r"\|")).alias("_item")
@@ -140,9 +173,10 @@ def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
 def group_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per group: samples, median and nearest-rank p90 time, extremes, median I/O, most common names.
 
-    Names with equal counts are listed in name order.
+    Names with equal counts are listed in name order. Runs without a readable plan (no execution time) do not count.
     """
     keys = list(keys)
+    metrics = metrics.where(F.col("execution_time_ms").isNotNull())
     temp = F.col("temp_read_blocks") + F.col("temp_written_blocks")
     long = metrics.withColumn("temp_blocks", temp).unpivot(
         keys,
@@ -179,7 +213,8 @@ def group_report(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def winners(metrics: DataFrame, case: Sequence[str] = ("case_id", "run_index")) -> DataFrame:
     """The fastest variant of every case and run; equal times go to the smaller variant name."""
-    extra = [c for c in ("party_count", "service_count", "estimated_dialog_count_band") if c in metrics.columns]
+    described = ("party_count", "service_count", "estimated_dialog_count_band")
+    extra = [c for c in described if c in metrics.columns and c not in case]
     best = F.min(F.struct("execution_time_ms", "variant", *extra)).alias("_b")
     return (
         metrics.where(F.col("execution_time_ms").isNotNull())

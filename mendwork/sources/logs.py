@@ -35,6 +35,21 @@ def read_plan_logs(spark: SparkSession, root: str, file_name: str = "explain.jso
     )
 
 
+# fixed values: columns of a run manifest, in order
+MANIFEST_SCHEMA = (
+    "run_id STRING, pass INT, case_id STRING, run_index INT, variant STRING, variant_order INT, "
+    "permission_group_count INT, party_count INT, service_count INT, hot_party STRING, "
+    "unprefixed_party_identifier STRING, estimated_dialog_count BIGINT, estimated_dialog_count_band STRING, as_of STRING, "
+    "sql_file STRING, raw_output_file STRING, stderr_file STRING, payload_file STRING, started_at STRING, "
+    "finished_at STRING, exit_code INT"
+)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of a benchmark run, CSV with a header: one row for each execution of a variant."""
+    return spark.read.schema(MANIFEST_SCHEMA).option("header", True).option("escape", '"').csv(path)
+
+
 def _number(column: str, kind: str) -> Column:
     text = F.nullif(F.nullif(F.trim(F.col(column)), F.lit("")), F.lit("None"))
     value = text.try_cast("double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendwork.constants import Urns
@@ -18,13 +18,22 @@ ACTOR_SCHEMA = (
 )
 
 
+def _rounded_time(text: Column) -> Column:
+    """A time of any accepted spelling, to the nearest microsecond; the plain cast cuts digits off."""
+    seventh = F.regexp_extract(text, r"\.[0-9]{6}([0-9])", 1)
+    micros = F.unix_micros(text.cast("timestamp")) + F.when(seventh >= "5", F.lit(1)).otherwise(F.lit(0))
+    return F.timestamp_micros(micros)
+
+
 def _read(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataFrame:
     """CSV with a header line and doubled quotes; a bad or missing value fails the read.
 
-    Columns are taken by position. An empty field is missing, quoted or not.
+    Columns are taken by position. An empty field is missing, quoted or not. Times are kept to the microsecond; a
+    seventh digit rounds.
     """
+    as_text = ", ".join(f"{field.split()[0]} STRING" for field in schema.split(", "))
     df = (
-        spark.read.schema(schema)
+        spark.read.schema(as_text)
         .option("header", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
@@ -32,9 +41,13 @@ def _read(spark: SparkSession, paths: str | Sequence[str], schema: str) -> DataF
         .option("columnPruning", False)
         .csv([paths] if isinstance(paths, str) else list(paths))
     )
+    kinds = dict(field.split() for field in schema.split(", "))
     required = [
-        F.coalesce(F.col(c), F.raise_error(F.lit(f"staging column {c} is missing a value")).cast(t)).alias(c)
-        for c, t in df.dtypes
+        F.coalesce(
+            _rounded_time(F.col(c)) if kinds[c] == "TIMESTAMP" else F.col(c),
+            F.raise_error(F.lit(f"staging column {c} is missing a value")).cast(kinds[c]),
+        ).alias(c)
+        for c in df.columns
     ]
     return df.select(*required)
 

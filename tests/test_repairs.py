@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mendwork.operators import actors, backfill, harness, labels, unopened
+from mendwork.constants import Urns
+from mendwork.operators import actors, backfill, harness, unopened
 from mendwork.operators.equivalence import multiset_diff
 from mendwork.plans.repairs import repair_actors, repair_labels, repair_unopened
 from mendwork.streaming.discovery import discover_stream, stream_candidates
@@ -223,8 +224,8 @@ def test_stream_discovery_equals_batch(spark, unopened_world, tmp_path):
 
 
 def seen_scenarios(
-    spark: SparkSession, now: str = "2026-06-01", scale: float = 1.0, urns: Urns = Urns()
-) -> tuple[DataFrame, DataFrame]:
+    spark, now="2026-06-01", scale=1.0, resource=Urns().resource
+):
     """Dialogs in eleven known states and their seen log: (dialogs, seen_log).
 
     At ``scale`` 1 there are 400,000 dialogs, of which 162,001 must be fixed; id ranges shrink with ``scale``.
@@ -254,8 +255,8 @@ def seen_scenarios(
 
     org = pick(2, "ttd")
     service = F.when(
-        pick(3, False), F.concat(F.lit(urns.resource + "app_"), org, F.lit("_a2-2802-10793"))
-    ).otherwise(F.lit(urns.resource + "ttd-service"))
+        pick(3, False), F.concat(F.lit(resource + "app_"), org, F.lit("_a2-2802-10793"))
+    ).otherwise(F.lit(resource + "ttd-service"))
     dialogs = ids.select(
         "id",
         org.alias("org"),
