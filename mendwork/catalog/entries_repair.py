@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
-from mendwork.functions.durable import durable
+from mendwork.functions.durable import durable, new_stage
 from mendwork.operators import actors, backfill, harness, labels, unopened
+from mendwork.streaming.discovery import discover_stream, stream_candidates
 
 NOW = "2002-01-01"
 
@@ -382,6 +383,49 @@ def u2_discover_batch(v: Views) -> DataFrame:
     return unopened.discover_batch(v.activity, v.dialog, _cursor(), 500)
 
 
+_PASS = ("2002-01-01 00:00:00", "2002-01-01 00:10:00")
+
+
+def _discovery_log(v: Views) -> DataFrame:
+    return unopened.discovery_log(v.activity, v.dialog, _START, _END, _REPAIR, 500, *_PASS)
+
+
+def u2_discovery_log(v: Views) -> DataFrame:
+    return _discovery_log(v).drop("batch_started_at", "batch_finished_at")
+
+
+def u2_discovery_state(v: Views) -> DataFrame:
+    return unopened.discovery_state(_discovery_log(v), _START, _END)
+
+
+def u2_discover_stream(v: Views) -> DataFrame:
+    """All activities written as files, discovered by a stream that takes what is there and ends."""
+    root = new_stage(v.spark)
+    v.activity.repartition(6).write.parquet(f"{root}/activities")
+    v.dialog.write.parquet(f"{root}/dialogs")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in v.activity.schema)
+    discover_stream(
+        v.spark, f"{root}/activities", f"{root}/dialogs", f"{root}/out", f"{root}/cursor", _REPAIR, _START, _END, schema
+    ).awaitTermination()
+    return stream_candidates(v.spark, f"{root}/out", NOW).select(
+        "repair_name", "dialog_id", "first_activity_created_at", "first_activity_id", "source_activity_count"
+    )
+
+
+def u4_process_log(v: Views) -> DataFrame:
+    before = _u4_candidates(v)
+    log = unopened.process_log(before, _processed(v).candidates, _REPAIR, 400, *_PASS)
+    return log.drop("batch_started_at", "batch_finished_at")
+
+
+def u6_phase_stats_of_run(v: Views) -> DataFrame:
+    """Statistics of the logs that discovery and processing wrote."""
+    both = _discovery_log(v).unionByName(
+        unopened.process_log(_u4_candidates(v), _processed(v).candidates, _REPAIR, 400, *_PASS), allowMissingColumns=True
+    )
+    return unopened.phase_stats(both)
+
+
 def _merged(v: Views) -> DataFrame:
     first = unopened.discover_batch(v.activity, v.dialog, _cursor(), 500)
     old = unopened.merge_candidates(None, first, _REPAIR, "2002-01-01")
@@ -513,6 +557,17 @@ _FIXES = f"""SELECT id, org FROM ({_B_DIALOG}) d
       AND service NOT LIKE concat('urn:demo:resource:app_', org, '_a2-%')
       AND NOT ((mask & 8) = 0 AND EXISTS (SELECT 1 FROM seen_log s WHERE s.dialog_id = d.id AND d.content_updated_at < s.created_at))"""
 
+_DISCOVERY_LOG = f"""SELECT '{_REPAIR}' AS repair_name, 'discover' AS phase, batch_no, CAST(600 AS DOUBLE) AS batch_seconds,
+       count(*) AS scanned_activities, count(DISTINCT dialog_id) AS candidates_touched, max(created_at) AS cursor_created_at,
+       arg_max(id, (created_at, id)) AS cursor_id, CAST(NULL AS VARCHAR) AS note
+    FROM (SELECT *, (row_number() OVER (ORDER BY created_at, id) - 1) // 500 + 1 AS batch_no FROM ({_SCOPED}) s) x GROUP BY batch_no
+    UNION ALL SELECT '{_REPAIR}', 'discover', 0, 600, 0, 0, max(created_at), arg_max(id, (created_at, id)), 'discovery complete' FROM ({_SCOPED}) s"""
+_PROCESS_LOG = f"""SELECT '{_REPAIR}' AS repair_name, 'process' AS phase, batch_no, CAST(600 AS DOUBLE) AS batch_seconds,
+       count(*) AS rows_selected, count(updated_at) AS rows_updated, any_value(total) - max(rn) AS remaining_candidates
+    FROM (SELECT u.updated_at, q.rn, (q.rn - 1) // 400 + 1 AS batch_no, count(*) OVER () AS total
+          FROM (SELECT *, row_number() OVER (ORDER BY ts, aid, dialog_id) AS rn FROM ({_U4_ALL}) a) q
+          JOIN ({_U4_WHOLE}) u ON u.dialog_id = q.dialog_id) x GROUP BY batch_no"""
+
 ENTRIES = {
     "h1_enqueue": (
         h1_enqueue,
@@ -711,6 +766,28 @@ ENTRIES = {
     ),
     "u1_has_unopened_content": (u1_has_unopened_content, _TRUE_FLAG),
     "u2_discover_batch": (u2_discover_batch, _FIRST_BATCH),
+    "u2_discovery_log": (u2_discovery_log, _DISCOVERY_LOG),
+    "u2_discovery_state": (
+        u2_discovery_state,
+        f"""SELECT '{_REPAIR}' AS repair_name, CAST('{_START}' AS TIMESTAMP) AS window_start, CAST('{_END}' AS TIMESTAMP) AS window_end,
+                   max(created_at) AS discovery_cursor_created_at, arg_max(id, (created_at, id)) AS discovery_cursor_id,
+                   true AS discovery_complete FROM ({_SCOPED}) s""",
+    ),
+    "u2_discover_stream": (
+        u2_discover_stream,
+        f"""SELECT '{_REPAIR}' AS repair_name, dialog_id, ts AS first_activity_created_at, aid AS first_activity_id,
+                   n AS source_activity_count FROM ({_per_dialog(_SCOPED)}) f""",
+    ),
+    "u4_process_log": (u4_process_log, _PROCESS_LOG),
+    "u6_phase_stats_of_run": (
+        u6_phase_stats_of_run,
+        f"""SELECT phase, count(*) AS batches, CAST(sum(scanned_activities) AS BIGINT) AS scanned_activities,
+                   CAST(sum(candidates_touched) AS BIGINT) AS candidates_touched, NULL::BIGINT AS rows_selected, NULL::BIGINT AS rows_updated,
+                   round(sum(batch_seconds), 3) AS total_seconds, round(avg(batch_seconds), 3) AS avg_batch_seconds
+            FROM ({_DISCOVERY_LOG}) d GROUP BY phase
+            UNION ALL SELECT phase, count(*), NULL, NULL, CAST(sum(rows_selected) AS BIGINT), CAST(sum(rows_updated) AS BIGINT),
+                   round(sum(batch_seconds), 3), round(avg(batch_seconds), 3) FROM ({_PROCESS_LOG}) p GROUP BY phase""",
+    ),
     "u3_merge_candidates": (
         u3_merge_candidates,
         f"""SELECT '{_REPAIR}' AS repair_name, n.dialog_id, least(n.ts, o.ts) AS first_activity_created_at,

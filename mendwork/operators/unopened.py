@@ -20,8 +20,8 @@ from mendwork.constants import (
     TRANSMISSION_CORRECTION,
     TRANSMISSION_SUBMISSION,
 )
-from mendwork.functions.columns import Moment, moment
-from mendwork.functions.ranking import first_n
+from mendwork.functions.columns import Moment, moment, seconds_between
+from mendwork.functions.ranking import add_position, first_n
 from mendwork.operators.harness import apply_update
 
 CANDIDATE_KEY = ("repair_name", "dialog_id")
@@ -145,6 +145,82 @@ def discover_all(
     return merge_candidates(None, scoped_activities(activities, dialogs, start, end), repair_name, now)
 
 
+def _log_times(started: Moment, finished: Moment) -> list[Column]:
+    seconds = seconds_between(moment(finished), moment(started))
+    return [moment(started).alias("batch_started_at"), moment(finished).alias("batch_finished_at"), seconds.alias("batch_seconds")]
+
+
+def discovery_log(
+    activities: DataFrame,
+    dialogs: DataFrame,
+    start: Moment,
+    end: Moment,
+    repair_name: str,
+    n: int,
+    started: Moment,
+    finished: Moment,
+) -> DataFrame:
+    """The batch log of a whole discovery read ``n`` activities at a time, as rows of phase 'discover'.
+
+    One pass numbers all activities in (time, id) order, so every batch of the cursor is a range of numbers: its
+    scanned activities, touched candidates and cursor come from one grouping. Batch 0 closes the log with the note
+    that nothing was left. All rows carry the start and finish of the pass.
+    """
+    order = [F.col("created_at"), F.col("id")]
+    numbered = add_position(scoped_activities(activities, dialogs, start, end), order)
+    batch = (F.floor((F.col("position") - 1) / n) + 1).alias("batch_no")
+    batches = numbered.groupBy(batch).agg(
+        F.count(F.lit(1)).alias("scanned_activities"),
+        F.count_distinct("dialog_id").alias("candidates_touched"),
+        F.max(F.struct("created_at", "id")).alias("_last"),
+    )
+    last = numbered.agg(F.max(F.struct("created_at", "id")).alias("_last"))
+    zero = F.lit(0).cast("bigint")
+    closing = last.select(zero.alias("batch_no"), zero.alias("scanned_activities"), zero.alias("candidates_touched"), "_last")
+    both = batches.withColumn("note", F.lit(None).cast("string")).unionByName(closing.withColumn("note", F.lit("discovery complete")))
+    return both.select(
+        F.lit(repair_name).alias("repair_name"), F.lit("discover").alias("phase"), "batch_no", *_log_times(started, finished),
+        "scanned_activities", "candidates_touched", F.col("_last.created_at").alias("cursor_created_at"),
+        F.col("_last.id").alias("cursor_id"), "note",
+    )
+
+
+def discovery_state(log: DataFrame, start: Moment, end: Moment) -> DataFrame:
+    """One state row a repair from its discovery log: window, cursor, and whether discovery is complete."""
+    found = log.where(F.col("phase") == "discover")
+    last = F.max(F.struct(F.col("cursor_created_at").alias("at"), F.col("cursor_id").alias("id")))
+    return found.groupBy("repair_name").agg(
+        moment(start).alias("window_start"),
+        moment(end).alias("window_end"),
+        last["at"].alias("discovery_cursor_created_at"),
+        last["id"].alias("discovery_cursor_id"),
+        F.max(F.col("note").eqNullSafe("discovery complete")).alias("discovery_complete"),
+    )
+
+
+def process_log(
+    before: DataFrame, after: DataFrame, repair_name: str, n: int, started: Moment, finished: Moment
+) -> DataFrame:
+    """The batch log of processing ``n`` candidates at a time, as rows of phase 'process'.
+
+    ``before`` and ``after`` are the candidates around :func:`process_candidates`; those that it processed are
+    numbered in its order. ``remaining_candidates`` are the open ones behind a batch.
+    """
+    key = list(CANDIDATE_KEY)
+    open_ = before.where(F.col("processed_at").isNull() & (F.col("repair_name") == repair_name))
+    done = after.where(F.col("processed_at").isNotNull()).select(*key, F.col("updated_at").isNotNull().alias("_updated"))
+    order = [F.col("first_activity_created_at"), F.col("first_activity_id"), F.col("dialog_id")]
+    numbered = add_position(open_.select(*key, "first_activity_created_at", "first_activity_id").join(done, key), order)
+    total = open_.count()
+    batches = numbered.groupBy((F.floor((F.col("position") - 1) / n) + 1).alias("batch_no")).agg(
+        F.count(F.lit(1)).alias("rows_selected"), F.count_if("_updated").alias("rows_updated"), F.max("position").alias("_upto")
+    )
+    return batches.select(
+        F.lit(repair_name).alias("repair_name"), F.lit("process").alias("phase"), "batch_no", *_log_times(started, finished),
+        "rows_selected", "rows_updated", (F.lit(total) - F.col("_upto")).alias("remaining_candidates"),
+    )
+
+
 class Processed(NamedTuple):
     dialogs: DataFrame
     candidates: DataFrame

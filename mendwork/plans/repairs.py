@@ -38,6 +38,7 @@ def repair_labels(
     workers: int = 4,
     urns: Urns = Urns(),
     candidates: DataFrame | None = None,
+    finished: Moment | None = None,
 ) -> Repaired:
     """Resolve, enqueue, claim, apply, mark, log, verify. ``candidates`` are those of an earlier run."""
     keys = ["entity_id", "label_id"]
@@ -56,7 +57,7 @@ def repair_labels(
     return Repaired(
         {"labels": new_labels, "logs": new_logs, "actors": new_actors, "actor_names": names},
         marked,
-        harness.batch_log(marked, claimed, keys, now, now),
+        harness.batch_log(marked, claimed, keys, now, finished or now),
         label_ops.verify_labels(marked, new_labels, new_logs, new_actors),
     )
 
@@ -71,6 +72,7 @@ def repair_actors(
     workers: int = 4,
     urns: Urns = Urns(),
     candidates: DataFrame | None = None,
+    finished: Moment | None = None,
 ) -> Repaired:
     keys = ["entity_id"]
     resolution, new_rows = actor_ops.resolve_actor_names(staging, actor_names, urns)
@@ -86,7 +88,7 @@ def repair_actors(
     return Repaired(
         {"actors": new_actors, "actor_names": names},
         marked,
-        harness.batch_log(marked, claimed, keys, now, now),
+        harness.batch_log(marked, claimed, keys, now, finished or now),
         actor_ops.verify_actors(marked, new_actors, names, urns),
     )
 
@@ -99,14 +101,22 @@ def repair_unopened(
     end: Moment,
     repair_name: str,
     now: Moment,
+    finished: Moment | None = None,
+    batch_sizes: tuple[int, int] = (100_000, 1000),
 ) -> Repaired:
-    """Discover the whole window in one pass, then correct all candidates in one pass."""
+    """Discover the whole window in one pass, then correct all candidates in one pass.
+
+    The log has the rows that discovery and processing in ``batch_sizes`` would write, see
+    :func:`unopened.phase_stats`; all carry the run's start (``now``) and finish.
+    """
     found = durable(unopened.discover_all(activities, dialogs, start, end, repair_name, now))
     done = unopened.process_candidates(found, dialogs, transmissions, activities, now)
     new_dialogs, marked = durable(done.dialogs), durable(done.candidates)
     return Repaired(
         {"dialogs": new_dialogs},
         marked,
-        done.touched,
+        unopened.discovery_log(activities, dialogs, start, end, repair_name, batch_sizes[0], now, finished or now).unionByName(
+            unopened.process_log(found, marked, repair_name, batch_sizes[1], now, finished or now), allowMissingColumns=True
+        ),
         unopened.verify_unopened(marked, new_dialogs, transmissions, activities),
     )
