@@ -9,8 +9,9 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from mendwork.functions.durable import durable
+from mendwork.functions.durable import exists, new_stage, stage_dir
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -253,13 +254,24 @@ def with_views(body: str, given: tuple[str, ...] = ()) -> str:
     return f"WITH {head}\n{own}"
 
 
+# Stored views of the applications of this process: path and schema by (stage folder, tables, view).
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
 class Views:
-    """The views over one folder of parquet tables, as DataFrames: ``v.dialog``, ``v.orders``."""
+    """The views over one folder of parquet tables, as DataFrames: ``v.dialog``, ``v.orders``.
+
+    Stored views stand for tables: they are written once for an application and folder, and read by all queries.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._sf_dir = sf_dir
-        self._stored: dict[str, DataFrame] = {}
+
+    def prepare(self) -> None:
+        """Write all stored views that are not there yet."""
+        for name in STORED:
+            self._store(name)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
@@ -275,9 +287,13 @@ class Views:
         return self.spark.sql(text)
 
     def _store(self, name: str) -> DataFrame:
-        if name not in self._stored:
-            self._stored[name] = durable(self.sql(VIEWS[name]))
-        return self._stored[name]
+        key = (stage_dir(self.spark), self._sf_dir, name)
+        if key not in _WRITTEN or not exists(self.spark, _WRITTEN[key][0]):
+            df, path = self.sql(VIEWS[name]), new_stage(self.spark)
+            df.write.parquet(path)
+            _WRITTEN[key] = (path, df.schema)
+        path, schema = _WRITTEN[key]
+        return self.spark.read.schema(schema).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in STORED:

@@ -35,10 +35,21 @@ def new_stage(spark: SparkSession) -> str:
     return f"{stage_dir(spark)}/{uuid.uuid4().hex}"
 
 
+def _files(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, whichever store it is in."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _files(spark, path)
+    return files.exists(where)
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Remove every stage file of this application; frames that read them are unusable afterwards."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    where, files = _files(spark, stage_dir(spark))
+    files.delete(where, True)
 
 
 def durable(df: DataFrame) -> DataFrame:

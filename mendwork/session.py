@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(app: str = "mendwork", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+    # One disk: a scratch folder is shared by all there is.
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -14,6 +17,7 @@ def local_session(app: str = "mendwork", cores: int | str = "*", shuffle_partiti
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,12 +1,13 @@
 import math
 import random
 import re
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mendwork.functions import ranking
+from mendwork.functions import durable, ranking
 from mendwork.functions.columns import band_of, party_key, reorder_name, stratum, uuid7
 from mendwork.functions.text import build_tokens, text_matches
 
@@ -115,3 +116,38 @@ def test_small_columns(spark):
     assert [tuple(r) for r in edge.select(band_of(F.col("f"), False), band_of(F.col("f"), True)).collect()] == [
         ("very_hot", "hot"), ("hot", "medium"), ("medium", "long_tail"),
     ]
+
+
+def test_stage_folders_are_shared_or_refused(spark):
+    def session(master, named=None):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: named), sparkContext=context)
+
+    assert durable.shared_dir(session("spark://host:1", "hdfs://store/stages/")) == "hdfs://store/stages"
+    for master in ("spark://host:1", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            durable.shared_dir(session(master))
+    path = durable.new_stage(spark)
+    spark.range(3).write.parquet(path)
+    assert durable.exists(spark, path) and path.startswith(durable.stage_dir(spark))
+
+
+def test_null_keys_are_spread_in_a_left_join(spark):
+    left = spark.range(4000).select("id", F.when(F.col("id") % 4 == 0, F.col("id") % 7).alias("k"))
+    right = spark.createDataFrame([(i, f"v{i}") for i in range(5)], "k bigint, v string")
+    got = {r["id"]: r["v"] for r in ranking.left_join_spread(left, right, "k").collect()}
+    assert len(got) == 4000
+    assert all(v == (f"v{i % 7}" if i % 4 == 0 and i % 7 < 5 else None) for i, v in got.items())
+    part = F.pmod(ranking.row_hash(left), F.lit(ranking.NULL_PARTS))
+    assert left.where("k is null").groupBy(part.alias("p")).count().agg(F.max("count")).first()[0] < 40
+
+
+def test_running_totals_do_not_depend_on_partitions(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 3).alias("g"), (F.col("id") * 31 % 17).alias("v"))
+    for n in (1, 7):
+        found = ranking.add_running_total(rows.repartition(n), [F.col("id")], "v", group=["g"]).collect()
+        for g in range(3):
+            total = 0
+            for r in sorted((r for r in found if r["g"] == g), key=lambda r: r["id"]):
+                assert r["before"] == total
+                total += r["v"]
