@@ -14,7 +14,7 @@ from functools import lru_cache
 import numpy as np
 
 # Up to so many words are kept per worker, each up to so many characters.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 KNOWN_CHARS = 48
 END_ID = 0
 # Printable ASCII, the line feed, and letters up to U+167F: among these, only space and line feed are white space.

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendwork.functions.durable import durable
+from mendwork.llm.batches import small_batches
 
 WINDOW = 64
 RUN = 64
@@ -155,6 +156,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def level_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Rank of every level, the rarest over all windows of all texts first. Only the level counts reach the driver."""
 
+    small_batches(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LEVELS, np.int64)
         for batch in batches:
@@ -233,6 +236,7 @@ def compare_edited(docs: DataFrame, ranks: np.ndarray, *, doc_id: str = "doc_id"
     The texts are shuffled once, by ranges of the order. A task compares what follows in its own range; the first
     and last text of each range are stored and joined by range number, one row a task.
     """
+    small_batches(docs.sparkSession)
     body = pa.schema([*_RESULT, ("part", pa.int64()), ("edge", pa.int64()), ("text", pa.string())])
     sql = f"{_RESULT_SQL}, part bigint, edge bigint, text string"
 

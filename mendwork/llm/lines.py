@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from mendwork.functions.durable import durable
 from mendwork.functions.ranking import join_null_safe
+from mendwork.llm.batches import small_batches
 
 WINDOW_LINES = 3
 
@@ -55,6 +56,7 @@ def remove_repeated(docs: DataFrame, *, size: int = WINDOW_LINES, doc_id: str =
     Null texts stay null (no lines); a text that loses all lines becomes empty. Rows that repeat both id and text
     are one document and keep the same lines. Columns named ``n_lines`` or ``n_removed`` are replaced.
     """
+    small_batches(docs.sparkSession)
     starts = repeated_positions(docs, size=size, doc_id=doc_id, text=text).withColumnsRenamed({"doc_id": "_id", "th": "_th", "starts": "_starts"})
     keyed = docs.drop("n_lines", "n_removed").withColumns({"_id": F.col(doc_id), "_th": F.xxhash64(text)})
     joined = join_null_safe(keyed, starts, ["_id", "_th"], "left").drop("_id", "_th")

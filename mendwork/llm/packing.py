@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.functions.durable import durable
+from mendwork.llm.batches import small_batches
 from mendwork.llm.encoding import default_tokenizer, encoder
 
 # Pieces that one task packs together: a few MB, and enough that the one unfilled sequence at its end is nothing.
@@ -117,6 +118,7 @@ def cut_pieces(
     before the piece), ``length``, ``ids_crc32`` and, with ``keep_ids``, the ``ids``. Null texts are empty: one
     piece with the end id. One pass over the texts, without a shuffle.
     """
+    small_batches(docs.sparkSession)
     path = tokenizer or default_tokenizer()
     out = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mendwork.llm.batches import small_batches
 from mendwork.llm.encoding import default_tokenizer, encoder
 
 BLOCK_IDS = 4096
@@ -90,6 +91,7 @@ def write_tokens(
     """
     if unit not in _WIDTH or block_ids % 8:
         raise ValueError("unit is 'byte' or 'bit'; block_ids is a multiple of 8")
+    small_batches(docs.sparkSession)
     path = tokenizer or default_tokenizer()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendwork.functions.durable import durable
+from mendwork.llm.batches import small_batches
 
 FEATURES = 192
 FOLDS = 4
@@ -102,6 +103,7 @@ def features(stats: np.ndarray, model: Model) -> np.ndarray:
 
 def with_statistics(docs: DataFrame, *keep: Column | str, text: str = "text") -> DataFrame:
     """``keep`` columns with ``stats`` (array of doubles); one pass, no shuffle."""
+    small_batches(docs.sparkSession)
     kept = docs.select(*keep)
     names = kept.columns
     schema = T.StructType([*kept.schema.fields, T.StructField("stats", T.ArrayType(T.DoubleType()))])

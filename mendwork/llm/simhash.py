@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mendwork.functions.durable import durable
+from mendwork.llm.batches import small_batches
 
 BITS = 64
 SEED = 42
@@ -55,6 +56,7 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, *keys: str, text: str = "text", shingle_words: int = 4) -> DataFrame:
     """``keys`` and ``fp``, the fingerprint as a signed long. Null texts have no words. No shuffle."""
+    small_batches(docs.sparkSession)
     schema = T.StructType([*docs.select(*keys).schema.fields, T.StructField("fp", T.LongType())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
