@@ -15,10 +15,12 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mendwork.llm.batches import small_batches
+
 DIMS = 8192
 UNDETERMINED = "und"
 # Bound of the sample: distinct texts a language is clustered from.
@@ -140,20 +142,23 @@ def train(
 ) -> Model:
     """Fit on labelled rows: texts with letters and a language that is not null. No such row: a model without languages.
 
-    Document frequencies are over all these rows. Centroids come from at most ``sample_texts`` distinct texts of
-    a language, those with the smallest text hash; each language is clustered by a task of its own.
+    Document frequencies are over all these rows. Centroids come from a sample by text hash that is meant to have
+    four fifths of ``sample_texts`` distinct texts of a language, so that it stays below; each language is clustered by
+    a task of its own, from the ``sample_texts`` with the smallest hashes should there be more.
     """
+    small_batches(docs.sparkSession)
     labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     total, frequency = document_frequencies(labelled, dims=dims)
     idf = (np.log((1 + total) / (1 + frequency)) + 1).astype(np.float32)
     hashed = labelled.withColumn("h", F.xxhash64("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    firsts = hashed.select("lang", "h").distinct().withColumn("r", rank).where(F.col("r") <= sample_texts)
-    limits = firsts.groupBy("lang").agg(F.max("h").alias("most"))
-    sample = hashed.join(limits, "lang").where("h <= most").groupBy("lang", "h").agg(F.min("text").alias("text"))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
+    shares = {r["lang"]: min(1.0, sample_texts / (1.25 * max(r["n"], 1))) if r["n"] > sample_texts / 2 else 1.0 for r in sizes}
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")] if shares else F.lit(0.0)
+    drawn = F.pmod(F.col("h"), F.lit(1 << 40)) < share * float(1 << 40)
+    sample = hashed.where(drawn).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("h")
+        group = group.sort_values("h").head(sample_texts)
         rows, levels = [], []
         for t in group["text"]:
             if (counts := ngram_counts(t, dims)) is not None:
@@ -201,6 +206,7 @@ def identify(
     ``und`` with score 0 and rejected; so is everything when the model has no language. The prediction of a
     rejected text with letters is still the nearest language. Kept columns must not have the names in ``named``.
     """
+    small_batches(docs.sparkSession)
     kept = docs.select(*keep)
     kinds = (T.StringType(), T.DoubleType(), T.BooleanType())
     schema = T.StructType([*kept.schema.fields, *map(T.StructField, named, kinds)])
