@@ -267,8 +267,13 @@ def a3_resolution_report(v: Views) -> DataFrame:
 
 
 def a4_actor_candidates(v: Views) -> DataFrame:
-    found = actors.actor_candidates(v.staging_actor, v.activity, _text_actors(v), _actor_resolution(v)[0])
-    return found.select("entity_id", F.col("target_actor_name_id").rlike("^[0-9]+$").alias("target_existed"))
+    resolution, new_rows = _actor_resolution(v)
+    found = actors.actor_candidates(v.staging_actor, v.activity, _text_actors(v), resolution)
+    names = _text_names(v).select("id", "actor_id", "name").unionByName(new_rows.select("id", "actor_id", "name"))
+    target = names.withColumnRenamed("id", "target_actor_name_id")
+    return found.select("entity_id", "target_actor_name_id").join(target, "target_actor_name_id", "left").select(
+        "entity_id", "actor_id", "name", F.col("target_actor_name_id").rlike("^[0-9]+$").alias("target_existed")
+    )
 
 
 def a5_key_ranges(v: Views) -> DataFrame:
@@ -702,7 +707,9 @@ ENTRIES = {
     ),
     "a4_actor_candidates": (
         a4_actor_candidates,
-        f"SELECT entity_id, known_id IS NOT NULL AS target_existed FROM ({_ACTOR_CANDIDATES}) c",
+        f"""SELECT entity_id, coalesce(n.actor_id, c.actor_id) AS actor_id, coalesce(n.name, c.name) AS name,
+                   known_id IS NOT NULL AS target_existed
+            FROM ({_ACTOR_CANDIDATES}) c LEFT JOIN actor_name n ON n.id = c.known_id""",
     ),
     "a5_key_ranges": (
         a5_key_ranges,
