@@ -32,21 +32,27 @@ _FRONT = 1 << 17
 _LEAF_PAIRS = 64
 
 
-def fingerprint(text: str | None, shingle_words: int = 4) -> int:
-    """The unsigned 64-bit SimHash of a whole text; zero for a text without words."""
-    import xxhash
-
+def shingles(text: str | None, shingle_words: int) -> list[bytes]:
+    """Runs of ``shingle_words`` lower-cased words, repeats included; a shorter text is one run."""
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) < shingle_words:
-        edges = [(0, len(joined))]
-    else:
-        ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
-        edges = zip([0, *[e + 1 for e in ends]], ends[shingle_words - 1 :])
+        return [joined]
+    ends = (np.cumsum([len(w) + 1 for w in words]) - 1).tolist()
+    return [joined[a:b] for a, b in zip([0, *[e + 1 for e in ends]], ends[shingle_words - 1 :])]
+
+
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    import xxhash
+
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], SEED) for a, b in edges], "<u8")
+    return np.array([hashed(s, SEED) for s in shingles(text, shingle_words)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in more than half of the hashes; zero for none."""
     counts = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 15):
         part = hashes[at : at + (1 << 15)]
@@ -54,6 +60,11 @@ def fingerprint(text: str | None, shingle_words: int = 4) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle_words: int = 4) -> int:
+    """The unsigned 64-bit SimHash of a whole text; zero for a text without words."""
+    return majority(shingle_hashes(text, shingle_words))
+
+
 def fingerprints(docs: DataFrame, *keys: str, text: str = "text", shingle_words: int = 4) -> DataFrame:
     """``keys`` and ``fp``, the fingerprint as a signed long. Null texts have no words. No shuffle."""
     small_batches(docs.sparkSession)
