@@ -236,12 +236,19 @@ def m10_run_summary(v: Views) -> DataFrame:
     return m.run_summary(_records(v), digits=6)
 
 
-def m11_wide_report(v: Views) -> DataFrame:
-    one = _runs(v).groupBy("category", "party_count", "service_count", "case", "variant").agg(
+def _cases(v: Views) -> DataFrame:
+    return _runs(v).groupBy("category", "party_count", "service_count", "case", "variant").agg(
         F.max("exec_ms").alias("exec_ms"), F.max("shared_read").alias("shared_read"), F.max("shared_hit").alias("shared_hit"),
         F.max("shared_dirtied").alias("shared_dirtied"), F.max("cache_status").alias("cache_status"),
     )
-    return m.wide_report(one, VARIANTS[:2])
+
+
+def m11_wide_report(v: Views) -> DataFrame:
+    return m.wide_report(_cases(v), VARIANTS[:2])
+
+
+def m11_wide_report_all(v: Views) -> DataFrame:
+    return m.wide_report(_cases(v), VARIANTS)
 
 
 def m12_condense_plans(v: Views) -> DataFrame:
@@ -529,6 +536,16 @@ ENTRIES = {
         )
         + f""" FROM (SELECT *, case_name AS "case", {_CATEGORY} AS category, {_STATUS} AS cache_status FROM run) r GROUP BY 1, 2, 3, 4""",
     ),
+    "m11_wide_report_all": (
+        m11_wide_report_all,
+        "SELECT category, party_count, service_count, \"case\", "
+        + ", ".join(
+            f"max(CASE WHEN variant = '{x}' THEN {c} END) AS {x}_{c}"
+            for x in VARIANTS
+            for c in ("exec_ms", "shared_read", "shared_hit", "shared_dirtied", "cache_status")
+        )
+        + f""" FROM (SELECT *, case_name AS "case", {_CATEGORY} AS category, {_STATUS} AS cache_status FROM run) r GROUP BY 1, 2, 3, 4""",
+    ),
     "m12_condense_plans": (
         m12_condense_plans,
         r"""SELECT line_no, CASE event_id % 10 WHEN 1 THEN concat('Limit (t=0.1..', CAST(user_id AS VARCHAR), '.5 r=101 l=1)')
