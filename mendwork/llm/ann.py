@@ -100,10 +100,10 @@ def _best(ids: np.ndarray, rows: np.ndarray, near: np.ndarray, query: np.ndarray
     return live[order], exact[order]
 
 
-def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``vec_id`` and ``vector`` (doubles) of rows whose vector is not null, has the commonest length, holds only finite
+def usable(vectors: DataFrame, vec_id: str, embedding: str, *others: str) -> DataFrame:
+    """``vec_id``, ``vector`` (doubles) and ``others`` of rows whose vector is not null, has the commonest length, holds only finite
     numbers and is not zero, and whose id is not null."""
-    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(embedding).cast("array<double>").alias("vector"), *others)
 
     def bad(x: Column) -> Column:
         return x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
@@ -211,12 +211,11 @@ def search(
     spark = vectors.sparkSession
     out = "query_id bigint, vec_id bigint, score double"
     marked = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False)))
-    rows = durable(usable(vectors, vec_id, embedding))
+    taking = durable(usable(marked, vec_id, embedding, "_query"))
+    rows = taking.drop("_query")
     if rows.isEmpty():
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    queries = durable(usable(marked.where("_query"), vec_id, embedding).groupBy("vec_id").agg(F.min("vector").alias("vector")))
-    wide = len(rows.first()["vector"])
-    queries = queries.where(F.size("vector") == wide)
+    queries = durable(taking.where("_query").groupBy("vec_id").agg(F.min("vector").alias("vector")))
     index, postings = build(rows, shard_rows=shard_rows)
     postings = durable(postings)
     budget = max(measure_budget(index, postings, queries, k, recall), k + 1)

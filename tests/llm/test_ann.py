@@ -55,3 +55,10 @@ def test_many_equal_vectors(spark):
     rows = ann.search(df, F.col("vec_id") == 0, k=5, shard_rows=32).orderBy("rank").collect()
     vectors = {r["vec_id"]: r["embedding"] for r in df.collect()}
     assert [r["vec_id"] for r in rows] == [i for i, _ in brute(vectors, [0], 5)[0]]
+
+
+def test_queries_of_a_length_the_table_does_not_have(spark):
+    rows = [(i, [float(i + 1), 1.0, 0.5, float(-i)]) for i in range(12)] + [(20 + i, [1.0, 2.0]) for i in range(3)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = ann.search(vectors, F.col("vec_id").isin(0, 20, 21, 22), k=3).collect()
+    assert {r["query_id"] for r in found} == {0} and len(found) == 3
