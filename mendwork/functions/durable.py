@@ -52,6 +52,12 @@ def clear_stages(spark: SparkSession) -> None:
     files.delete(where, True)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove one stage file whose successor is written; frames that read it are unusable afterwards."""
+    where, files = _files(spark, path)
+    files.delete(where, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
