@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendwork.functions.durable import new_stage
-from mendwork.llm import ann, chat, fingerprint, language, lines, mixing, packing, planes, quality, simhash
+from mendwork.llm import ann, chat, codes, codes_sql, fingerprint, language, lines, mixing, packing, planes, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,12 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_tokens(spark, folder, keep_ids=False)
 
 
+def op13_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(_table(spark, sf_dir, "embeddings"))
+    rows = codes.with_label_error(coded.rows)
+    return rows.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(codes.books_digest(coded.books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multi_index": op1_multi_index,
     "op2_language": op2_language,
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_token_planes": op9_token_planes,
     "op10_lines": op10_lines,
+    "op13_codebooks": op13_codebooks,
 }
 
 # The control strings of the chat template, as a pattern that may hold backslashes after the first character.
@@ -193,6 +200,9 @@ ORACLE: dict[str, str] = {
     """,
 }
 
+# The vectors of ``embeddings`` have 64 components.
+ORACLE["op13_codebooks"] = codes_sql.statement(64 // codes.PARTS)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
