@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendwork.functions.durable import new_stage
-from mendwork.llm import ann, chat, codes, codes_sql, fingerprint, language, lines, mixing, packing, planes, quality, simhash
+from mendwork.llm import ann, chat, codes, codes_sql, fingerprint, language, lines, mixing, packing, planes, quality, ranked, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_tokens(spark, folder, keep_ids=False)
 
 
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_codebooks(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = codes.compress(_table(spark, sf_dir, "embeddings"))
     rows = codes.with_label_error(coded.rows)
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_token_planes": op9_token_planes,
     "op10_lines": op10_lines,
+    "op12_ranked": op12_ranked,
     "op13_codebooks": op13_codebooks,
 }
 
@@ -198,6 +203,33 @@ ORACLE: dict[str, str] = {
                     ELSE array_to_string([s.lines[i + 1] FOR i IN range(len(s.lines)) IF NOT list_contains(g.gone, i)], chr(10)) END AS text
         FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
     """,
+    "op12_ranked": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents WHERE text IS NOT NULL
+        ),
+        sizes AS (SELECT r, doc_id, len(w) AS n FROM docs WHERE len(w) > 0),
+        whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+        asked AS (
+            SELECT item_id, term, count(*) AS repeats FROM (
+                SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+            ) GROUP BY item_id, term
+        ),
+        listed AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+        weights AS (
+            SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * df + 1)::DOUBLE))::BIGINT AS w
+            FROM (SELECT term, count(*) AS df FROM listed GROUP BY term), whole
+        ),
+        scored AS (
+            SELECT a.item_id, s.doc_id, l.r, sum(a.repeats * w.w * ((1000000000 * l.tf) // (1000 * l.tf + 8 * (25 + (75 * s.n * o.n_docs) // o.n_terms))))::BIGINT AS score
+            FROM listed l JOIN asked a ON l.term = a.term JOIN weights w ON l.term = w.term JOIN sizes s ON l.r = s.r CROSS JOIN whole o
+            GROUP BY a.item_id, s.doc_id, l.r
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+    """,
 }
 
 # The vectors of ``embeddings`` have 64 components.
