@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendwork.functions.durable import new_stage
-from mendwork.llm import ann, chat, codes, codes_sql, fingerprint, language, lines, mixing, packing, planes, quality, ranked, simhash
+from mendwork.llm import ann, chat, codes, codes_sql, extract, fingerprint, labelled_pages, language, lines, mixing, packing, planes, quality, ranked, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,15 @@ def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.read_tokens(spark, folder, keep_ids=False)
 
 
+# Invented labelled pages that the field of op11 learns from.
+LABELLED_PAGES = 1200
+
+
+def op11_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = extract.train(labelled_pages.labelled_pages(spark, LABELLED_PAGES))
+    return extract.extract(_table(spark, sf_dir, "pages"), model, "page_id", "url").drop("n_blocks")
+
+
 def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -101,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_token_planes": op9_token_planes,
     "op10_lines": op10_lines,
+    "op11_extract": op11_extract,
     "op12_ranked": op12_ranked,
     "op13_codebooks": op13_codebooks,
 }
@@ -203,6 +213,19 @@ ORACLE: dict[str, str] = {
                     ELSE array_to_string([s.lines[i + 1] FOR i IN range(len(s.lines)) IF NOT list_contains(g.gone, i)], chr(10)) END AS text
         FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id
     """,
+    # The given pages keep their article in one element of that name; the field does not know this.
+    "op11_extract": r"""
+        WITH parts AS (
+            SELECT page_id, unnest(string_split_regex(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>')) AS part,
+                   generate_subscripts(string_split_regex(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), 1) AS place
+            FROM pages
+        ),
+        plain AS (SELECT page_id, place, regexp_replace(regexp_replace(regexp_replace(part, '<[^>]*>', ' ', 'g'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS part FROM parts),
+        lines AS (SELECT page_id, place, trim(regexp_replace(part, '\s+', ' ', 'g')) AS line FROM plain),
+        joined AS (SELECT page_id, string_agg(line, chr(10) ORDER BY place) AS text FROM lines WHERE line <> '' GROUP BY page_id)
+        SELECT p.page_id, p.url, coalesce(j.text, '') AS text, CAST(length(coalesce(j.text, '')) AS BIGINT) AS n_chars
+        FROM pages p LEFT JOIN joined j ON p.page_id = j.page_id
+    """,
     "op12_ranked": r"""
         WITH docs AS (
             SELECT row_number() OVER () AS r, doc_id,
