@@ -63,26 +63,47 @@ _TEXT_QUERY = "the -en"
 
 
 def q6_search_dialog_first_text(v: Views) -> DataFrame:
-    return search.search_dialog_first_text(v.dialog, _perms(v), build_tokens(v.documents), _TEXT_QUERY, AS_OF)
+    return search.search_dialog_first_text(v.dialog, _perms(v), v.text_index(), _TEXT_QUERY, AS_OF)
 
 
 def q6_search_dialog_first_text_capped(v: Views) -> DataFrame:
     per_driver, overall, k = TEXT_CAPS
     return search.search_dialog_first_text(
-        v.dialog, _perms(v), build_tokens(v.documents), _TEXT_QUERY, AS_OF, k=k, per_driver=per_driver, overall=overall
+        v.dialog, _perms(v), v.text_index(), _TEXT_QUERY, AS_OF, k=k, per_driver=per_driver, overall=overall
     )
 
 
 def q7_text_matches(v: Views) -> DataFrame:
-    hit = text_matches(F.col("tokens"), "this -was or from")
-    return build_tokens(v.documents).where(hit).select("doc_id")
+    return v.text_index().matches("this -was or from")
 
 
 def q7_text_matches_phrase(v: Views) -> DataFrame:
-    hit = text_matches(F.col("tokens"), '"of the" -be')
+    return v.text_index().matches('"of the" -be')
+
+
+def q7_text_matches_column(v: Views) -> DataFrame:
+    """The same without an index: every text is split and tested."""
+    hit = text_matches(F.col("tokens"), 'this -"of the" or "and the" from')
     return build_tokens(v.documents).where(hit).select("doc_id")
 
 
+def q7_text_matches_mixed(v: Views) -> DataFrame:
+    return v.text_index().matches('this -"of the" or "and the" from')
+
+
+def q8_postings(v: Views) -> DataFrame:
+    """The stored postings, counted by document, beside what the lexicon says of each document's rarest word."""
+    index = v.text_index()
+    rows = index.postings().join(index.lexicon(), "token")
+    return rows.groupBy("doc_id").agg(
+        F.sum(F.size("positions")).alias("n_tokens"),
+        F.count(F.lit(1)).alias("n_distinct"),
+        F.sum(F.length("token") * F.aggregate("positions", F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("position_sum"),
+        F.min("n_docs").alias("rarest_docs"),
+        F.max("n_words").alias("commonest_words"),
+    )
+
+
 def q8_build_tokens(v: Views) -> DataFrame:
     return (
         token_positions(build_tokens(v.documents))
@@ -178,6 +199,26 @@ ENTRIES = {
             WHERE contains(concat(' ', array_to_string(tokens, ' '), ' '), ' of the ')
               AND NOT list_contains(tokens, 'be')""",
     ),
+    "q7_text_matches_column": (
+        q7_text_matches_column,
+        f"""SELECT doc_id FROM {_TOKENS} t
+            WHERE (list_contains(tokens, 'this') AND NOT contains(concat(' ', array_to_string(tokens, ' '), ' '), ' of the '))
+               OR (contains(concat(' ', array_to_string(tokens, ' '), ' '), ' and the ') AND list_contains(tokens, 'from'))""",
+    ),
+    "q7_text_matches_mixed": (
+        q7_text_matches_mixed,
+        f"""SELECT doc_id FROM {_TOKENS} t
+            WHERE (list_contains(tokens, 'this') AND NOT contains(concat(' ', array_to_string(tokens, ' '), ' '), ' of the '))
+               OR (contains(concat(' ', array_to_string(tokens, ' '), ' '), ' and the ') AND list_contains(tokens, 'from'))""",
+    ),
+    "q8_postings": (
+        q8_postings,
+        f"""WITH words AS (SELECT doc_id, unnest(tokens) AS token, unnest(range(1, len(tokens) + 1)) AS position FROM {_TOKENS} t),
+            lexicon AS (SELECT token, count(DISTINCT doc_id) AS n_docs, count(*) AS n_words FROM words GROUP BY token)
+            SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct, CAST(sum(length(token) * position) AS BIGINT) AS position_sum,
+                   min(n_docs) AS rarest_docs, max(n_words) AS commonest_words
+            FROM words JOIN lexicon USING (token) GROUP BY doc_id""",
+    ),
     "q8_build_tokens": (
         q8_build_tokens,
         f"""SELECT doc_id, count(*) AS n_tokens, count(DISTINCT token) AS n_distinct,

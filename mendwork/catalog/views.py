@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from mendwork.functions.durable import exists, new_stage, stage_dir
+from mendwork.operators import text_index
+from mendwork.operators.text_index import TextIndex
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -257,6 +259,10 @@ def with_views(body: str, given: tuple[str, ...] = ()) -> str:
 # Stored views of the applications of this process: path and schema by (stage folder, tables, view).
 _WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
+# Built text indexes, likewise; the given tables are small, so few buckets.
+_INDEXES: dict[tuple[str, str, str], TextIndex] = {}
+INDEX_BUCKETS = 8
+
 
 class Views:
     """The views over one folder of parquet tables, as DataFrames: ``v.dialog``, ``v.orders``.
@@ -272,6 +278,14 @@ class Views:
         """Write all stored views that are not there yet."""
         for name in STORED:
             self._store(name)
+        self.text_index()
+
+    def text_index(self) -> TextIndex:
+        """The positional index of ``documents``, built once for an application and folder."""
+        key = (stage_dir(self.spark), self._sf_dir, "text_index")
+        if key not in _INDEXES or not exists(self.spark, _INDEXES[key].path):
+            _INDEXES[key] = text_index.build(self.documents, new_stage(self.spark), buckets=INDEX_BUCKETS)
+        return _INDEXES[key]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._sf_dir}/{name}.parquet")

@@ -36,11 +36,11 @@ def _phrase(tokens: Column, wanted: list[str]) -> Column:
     return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" ")).contains(f" {' '.join(wanted)} ")
 
 
-def text_matches(tokens: Column, query: str) -> Column:
-    """Web-style match over a word array: words are AND-ed, ``"a b"`` is a phrase, ``or`` and ``-not`` work.
+def parse_query(query: str) -> list[list[tuple[bool, list[str]]]]:
+    """The alternatives of a web-style query, each a list of terms ``(negated, words)``; a term of several words is a phrase.
 
-    AND binds tighter than ``or``. A query without words matches nothing, and so does one with an
-    alternative made of negations only. Words must be equal after lower-casing: there is no stemmer.
+    Words are AND-ed, ``"a b"`` is a phrase, ``or`` and ``-not`` work; AND binds tighter than ``or``. A query without
+    words has no alternative, and neither has one with an alternative made of negations only: both match nothing.
     """
     branches: list[list[tuple[bool, list[str]]]] = [[]]
     for term in re.findall(r'-?"[^"]*"|\S+', query):
@@ -51,7 +51,16 @@ def text_matches(tokens: Column, query: str) -> Column:
         if wanted:
             branches[-1].append((term.startswith("-"), wanted))
     branches = [b for b in branches if b]
-    if not branches or any(all(negated for negated, _ in b) for b in branches):
+    return [] if any(all(negated for negated, _ in b) for b in branches) else branches
+
+
+def text_matches(tokens: Column, query: str) -> Column:
+    """Web-style match over a word array, see :func:`parse_query`. Words must be equal after lower-casing: there is no stemmer.
+
+    This tests every row it is given; :mod:`mendwork.operators.text_index` finds the matching documents in stored postings.
+    """
+    branches = parse_query(query)
+    if not branches:
         return F.lit(False)
 
     def branch(words_: Column, terms: list[tuple[bool, list[str]]]) -> Column:

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from mendwork.constants import CONTEXT_PAGE_SIZE, PAGE_SIZE
 from mendwork.functions.columns import Moment
 from mendwork.functions.ranking import first_n, first_n_per, newest_first
-from mendwork.functions.text import text_matches
 from mendwork.functions.visibility import visible
+from mendwork.operators.text_index import TextIndex
 
 PAYLOAD_SCHEMA = "array<struct<Parties:array<string>,Services:array<string>>>"
 
@@ -142,7 +142,7 @@ def fetch_page(ids: DataFrame, dialogs: DataFrame, case: Sequence[str] = ()) ->
 def search_dialog_first_text(
     dialogs: DataFrame,
     perms: Permissions,
-    tokens: DataFrame,
+    index: TextIndex,
     query: str,
     as_of: Moment,
     k: int = PAGE_SIZE,
@@ -150,11 +150,11 @@ def search_dialog_first_text(
     overall: int | None = None,
     **visibility,
 ) -> DataFrame:
-    """The newest ``k`` permitted records whose text matches. Tokens: doc_id, tokens.
+    """The newest ``k`` permitted records whose text matches, by the postings of ``index``; no text is read.
 
     By default every permitted record is a candidate. With ``per_driver`` only the newest so many of each (group,
     party) are, with ``overall`` only the newest so many of all: then a match older than the last candidate is
-    not found, as ``TEXT_CAPS`` has it. Only candidates' texts are tested.
+    not found, as ``TEXT_CAPS`` has it.
     """
     visibility = {"statuses": None, "exclude_api_only": True, **visibility}
     order = newest_first()
@@ -165,9 +165,7 @@ def search_dialog_first_text(
     candidates = candidates.select("id", "content_updated_at")
     if overall is not None:
         candidates = first_n(candidates, order, overall)
-    # The condition names both sides, so it stays in the join and is not tested on texts of no candidate.
-    own = F.when(F.col("id").isNotNull(), F.col("tokens"))
-    found = candidates.join(tokens.select("doc_id", "tokens"), (F.col("id") == F.col("doc_id")) & text_matches(own, query))
+    found = candidates.join(index.matches(query).withColumnRenamed("doc_id", "id"), "id")
     return first_n(found.select("id", "content_updated_at"), order, k)
 
 
