@@ -256,13 +256,16 @@ def m12_condense_plans(v: Views) -> DataFrame:
 
 
 def m13_plan_names(v: Views) -> DataFrame:
-    lines = m.condense_plans(v.plan_line.select("line_no", "line"))
-    raw = m.plan_names(v.plan_line.select("line_no", "line"))
-    return raw.select("name", F.col("first.line_no").alias("line_no")).join(lines.select("line_no"), "line_no", "left_semi")
+    named = m.plan_names(m.condense_plans(v.plan_line.select("line_no", "line")))
+    return named.select("name", F.col("first.line_no").alias("line_no"))
 
 
 def m13_dictionary_encode(v: Views) -> DataFrame:
-    return m.dictionary_encode(v.plan_line.select("line_no", "line"))[0]
+    return m.dictionary_encode(m.condense_plans(v.plan_line.select("line_no", "line")))[0]
+
+
+def m13_dictionary(v: Views) -> DataFrame:
+    return m.dictionary_encode(m.condense_plans(v.plan_line.select("line_no", "line")))[1]
 
 
 # --- equivalence ---------------------------------------------------------------------
@@ -402,6 +405,31 @@ _MANIFEST = f"""SELECT concat('case_', CAST(event_id AS VARCHAR)) AS case_id, ev
        CASE WHEN event_id % 13 <> 0 THEN {_ok('user_id + CAST(0.5 AS DOUBLE)')} END AS execution_time_ms
     FROM events WHERE event_id % 7 <> 0"""
 
+
+
+def _condensed(index: str, table: str, joins: str = "") -> str:
+    """The condensed plan lines, with what stands for an index and a table in the scan lines."""
+    return rf"""SELECT line_no, CASE event_id % 10 WHEN 1 THEN concat('Limit (t=0.1..', CAST(user_id AS VARCHAR), '.5 r=101 l=1)')
+               WHEN 3 THEN concat('-> Index Scan using ', {index}, ' on ', {table}, ' d (t=1.0..2.0 r=3 l=1)')
+               ELSE trim(regexp_replace(line, '\s+', ' ', 'g')) END AS line
+            FROM plan_line JOIN events ON event_id = line_no {joins} WHERE event_id % 10 NOT IN (0, 8) AND line <> 'Planning:'"""
+
+
+# Codes of the names in order of first use; an index comes before the table of its line.
+_NAME_CODES = """SELECT name, concat(chr(CAST(65 + (rk - 1) // 26 AS INTEGER)), chr(CAST(65 + (rk - 1) % 26 AS INTEGER))) AS code
+    FROM (SELECT name, row_number() OVER (ORDER BY min(line_no * 2 + place)) AS rk FROM (
+            SELECT line_no, 0 AS place, concat('IX_Tab', CAST(user_id % 7 AS VARCHAR)) AS name FROM plan_line JOIN events ON event_id = line_no WHERE event_id % 10 = 3
+            UNION ALL SELECT line_no, 1, concat('Table', CAST(user_id % 5 AS VARCHAR)) FROM plan_line JOIN events ON event_id = line_no WHERE event_id % 10 = 3) y
+          GROUP BY name) z"""
+
+
+def _with_terms(column: str) -> str:
+    for term, code in sorted(zip(m.COMMON_TERMS, m.TERM_CODES), key=lambda t: -len(t[0])):
+        bound = "" if term.endswith(":") or " " in term else r"\b"
+        column = f"regexp_replace({column}, '{bound}{term}{bound}', '{code}', 'g')"
+    return column
+
+
 ENTRIES = {
     "src1_read_label_staging": (
         src1_read_label_staging,
@@ -546,14 +574,7 @@ ENTRIES = {
         )
         + f""" FROM (SELECT *, case_name AS "case", {_CATEGORY} AS category, {_STATUS} AS cache_status FROM run) r GROUP BY 1, 2, 3, 4""",
     ),
-    "m12_condense_plans": (
-        m12_condense_plans,
-        r"""SELECT line_no, CASE event_id % 10 WHEN 1 THEN concat('Limit (t=0.1..', CAST(user_id AS VARCHAR), '.5 r=101 l=1)')
-               WHEN 3 THEN concat('-> Index Scan using "IX_Tab', CAST(user_id % 7 AS VARCHAR), '" on "Table', CAST(user_id % 5 AS VARCHAR),
-                                  '" d (t=1.0..2.0 r=3 l=1)')
-               ELSE trim(regexp_replace(line, '\s+', ' ', 'g')) END AS line
-            FROM plan_line JOIN events ON event_id = line_no WHERE event_id % 10 NOT IN (0, 8) AND line <> 'Planning:'""",
-    ),
+    "m12_condense_plans": (m12_condense_plans, _condensed("concat('\"IX_Tab', CAST(user_id % 7 AS VARCHAR), '\"')", "concat('\"Table', CAST(user_id % 5 AS VARCHAR), '\"')")),
     "m13_plan_names": (
         m13_plan_names,
         """SELECT name, min(line_no) AS line_no FROM (
@@ -561,7 +582,18 @@ ENTRIES = {
              UNION ALL SELECT line_no, concat('Table', CAST(user_id % 5 AS VARCHAR)) FROM plan_line JOIN events ON event_id = line_no WHERE event_id % 10 = 3) x
            GROUP BY name""",
     ),
-    "m13_dictionary_encode": (m13_dictionary_encode, None),
+    "m13_dictionary_encode": (
+        m13_dictionary_encode,
+        f"""WITH coded AS ({_NAME_CODES})
+            SELECT line_no, {_with_terms("line")} AS line FROM (
+              {_condensed("i.code", "t.code", "LEFT JOIN coded i ON i.name = concat('IX_Tab', CAST(user_id % 7 AS VARCHAR)) LEFT JOIN coded t ON t.name = concat('Table', CAST(user_id % 5 AS VARCHAR))")}
+            ) x""",
+    ),
+    "m13_dictionary": (
+        m13_dictionary,
+        f"""SELECT 'name' AS kind, name AS text, code FROM ({_NAME_CODES}) n
+            UNION ALL SELECT 'term', unnest({list(m.COMMON_TERMS)!r}), unnest({list(m.TERM_CODES[: len(m.COMMON_TERMS)])!r})""",
+    ),
     "e1_multiset_diff": (e1_multiset_diff, _DIFF),
     "e1_diff_count": (
         e1_diff_count,

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import fnmatch
 from collections.abc import Sequence
-from itertools import count, product
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendwork.constants import BLOCK_BYTES
-from mendwork.functions.ranking import exact_percentiles, join_null_safe
+from mendwork.functions.durable import durable
+from mendwork.functions.ranking import add_position, exact_percentiles, join_null_safe
 from mendwork.operators.search import PAYLOAD_SCHEMA
 
 # --- plan logs as JSON ------------------------------------------------------------
@@ -532,7 +532,6 @@ COMMON_TERMS = (
     "Append", "ProjectSet", "on", "using", "shared hit", "read", "written",
 )
 TERM_CODES = "!#$%&*+;:?@^_|~ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _starts(text: Column, prefixes: Sequence[str]) -> Column:
@@ -590,29 +589,79 @@ def plan_names(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFra
     return named.where((F.length("name") > 1) & is_name).groupBy("name").agg(F.min("first").alias("first"))
 
 
+def _letter_code(position: Column) -> Column:
+    """Codes AA, AB, ... ZZ for positions from 1, then AAA and on: as many letters as are needed."""
+    code, before = F.lit(None).cast("string"), 0
+    for size in range(2, 9):
+        at = position - 1 - before
+        letters = [F.chr((F.floor(at / 26**place) % 26 + 65).cast("bigint")) for place in range(size - 1, -1, -1)]
+        code = F.coalesce(code, F.when(at < 26**size, F.concat(*letters)))
+        before += 26**size
+    return code
+
+
+def _pieces(text: Column) -> Column:
+    """Words and single other characters, in text order; together they are the text."""
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]"), F.lit(0))
+
+
+def _name_places(lines: DataFrame, names: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Where names stand in lines: ``order`` and ``_found``, a list of (rank, bare, from, to, code) with places in pieces.
+
+    Pieces that begin a name are found by a join on the piece, and what follows them by a join on the name's text, so each
+    occurrence meets its own name only. A name counts between quotes, which belong to the place, or between word borders.
+    """
+    starts = durable(names.groupBy(F.get(_pieces(F.col("name")), F.lit(0)).alias("_piece")).agg(F.collect_set(F.size(_pieces(F.col("name")))).alias("_sizes")))
+    split = lines.select(*order, _pieces(F.col("line")).alias("_pieces"))
+    begins = split.select(*order, F.posexplode("_pieces").alias("_at", "_piece")).join(starts, "_piece")
+    begun = begins.select(*order, F.explode("_sizes").alias("_size"), "_at").groupBy(*order).agg(F.collect_list(F.struct("_at", "_size")).alias("_begun"))
+    spans = join_null_safe(split, begun, order).select(*order, "_pieces", F.explode("_begun").alias("_b"))
+    start, end = F.col("_b._at"), F.col("_b._at") + F.col("_b._size")
+    before, after = F.get("_pieces", start - 1), F.get("_pieces", end)
+    first, last = F.get("_pieces", start), F.get("_pieces", end - 1)
+
+    def is_word(piece: Column) -> Column:
+        return F.coalesce(piece.rlike(r"^[\p{L}\p{N}_]"), F.lit(False))
+
+    quoted = F.coalesce((before == '"') & (after == '"'), F.lit(False))
+    bounded = (is_word(before) != is_word(first)) & (is_word(last) != is_word(after))
+    named = spans.where(end <= F.size("_pieces")).select(
+        *order, F.array_join(F.slice("_pieces", start + 1, F.col("_b._size")), "").alias("name"), (~quoted).alias("bare"),
+        (start - quoted.cast("int")).alias("from"), (end + quoted.cast("int")).alias("to"), (quoted | bounded).alias("_counts"),
+    )
+    hits = named.where("_counts").join(names.select("name", "rank", "code"), "name")
+    return hits.groupBy(*order).agg(F.array_sort(F.collect_list(F.struct("rank", "bare", "from", "to", "code"))).alias("_found"))
+
+
 def dictionary_encode(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> tuple[DataFrame, DataFrame]:
     """Replace names by letter codes and common terms by one-character codes: (lines, dictionary).
 
-    Names get the two-letter codes in order of first use, then three-letter ones, and so on. The dictionary, one
-    row for each name of the plans' schema, is the only thing brought to the driver; lines are rewritten where
-    they are.
+    Names get the two-letter codes in order of first use, then three-letter ones, and so on. Where names overlap, the one
+    first used wins, then quoted over bare, then the leftmost; codes are not searched again. The dictionary (``kind``,
+    ``text``, ``code``) stays a table, whatever its size. ``order`` tells lines apart.
     """
-    codes = ("".join(letters) for size in count(2) for letters in product(_LETTERS, repeat=size))
-    names = [r["name"] for r in plan_names(lines, order).orderBy("first").select("name").collect()]
-    name_codes = list(zip(names, codes))
+    ranked = add_position(plan_names(lines, order), [F.col("first")], name="rank")
+    names = durable(ranked.select("name", "rank", _letter_code(F.col("rank")).alias("code")))
     term_codes = list(zip(COMMON_TERMS, TERM_CODES))
-    dictionary = lines.sparkSession.createDataFrame(
-        [("name", n, c) for n, c in name_codes] + [("term", t, c) for t, c in term_codes],
-        "kind string, text string, code string",
-    )
-    rules: list[tuple[str, str]] = []
-    for name, code in name_codes:
-        rules += [(f'"\\Q{name}\\E"', code), (f"\\b\\Q{name}\\E\\b", code)]
-    for term, code in sorted(term_codes, key=lambda t: -len(t[0])):
-        bounded = f"\\Q{term}\\E" if term.endswith(":") or " " in term else f"\\b\\Q{term}\\E\\b"
-        rules.append((bounded, code))
-    table = F.array(
-        *[F.struct(F.lit(p).alias("p"), F.lit(c.replace("\\", "\\\\").replace("$", "\\$")).alias("c")) for p, c in rules]
-    )
-    encoded = F.aggregate(table, F.col("line"), lambda acc, r: F.regexp_replace(acc, r["p"], r["c"]))
-    return lines.withColumn("line", encoded), dictionary
+    terms = lines.sparkSession.createDataFrame([("term", t, c) for t, c in term_codes], "kind string, text string, code string")
+    dictionary = names.select(F.lit("name").alias("kind"), F.col("name").alias("text"), "code").unionByName(terms)
+
+    def take(taken: Column, hit: Column) -> Column:
+        free = ~F.exists(taken, lambda t: (t["from"] < hit["to"]) & (t["to"] > hit["from"]))
+        return F.when(free, F.array_append(taken, hit)).otherwise(taken)
+
+    places = _name_places(lines, names, order)
+    joined = join_null_safe(lines, places, order, "left")
+    none = F.slice("_found", 1, 0)
+    kept = joined.withColumn("_taken", F.aggregate("_found", none, take))
+
+    def written(piece: Column, at: Column) -> Column:
+        inside = F.filter("_taken", lambda t: (t["from"] <= at) & (at < t["to"]))
+        code = F.when(F.get(inside, F.lit(0))["from"] == at, F.get(inside, F.lit(0))["code"]).otherwise("")
+        return F.when(F.size(inside) > 0, code).otherwise(piece)
+
+    named = F.when(F.col("_taken").isNull(), F.col("line")).otherwise(F.array_join(F.transform(_pieces(F.col("line")), written), ""))
+    # The terms are a fixed list; the longest are replaced first.
+    rules = [(f"\\Q{t}\\E" if t.endswith(":") or " " in t else f"\\b\\Q{t}\\E\\b", c) for t, c in sorted(term_codes, key=lambda t: -len(t[0]))]
+    encoded = reduce(lambda text, rule: F.regexp_replace(text, rule[0], rule[1].replace("\\", "\\\\").replace("$", "\\$")), rules, named)
+    return kept.withColumn("line", encoded).drop("_found", "_taken"), dictionary

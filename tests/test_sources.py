@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,6 +115,52 @@ def test_dictionary_can_be_read_back(spark):
     assert "AA" in first and "AB" in first and "IX_A" not in first
 
 
+def _encoded(line, names):
+    """Names in order of first use: at each step the quoted ones, then those between word borders, in what is still text."""
+    pieces = [(line, False)]
+    for code, name in names:
+        for pattern in (f'"{re.escape(name)}"', rf"\b{re.escape(name)}\b"):
+            new = []
+            for text, done in pieces:
+                if done:
+                    new.append((text, True))
+                    continue
+                at = 0
+                for hit in re.finditer(pattern, text):
+                    new += [(text[at : hit.start()], False), (code, True)]
+                    at = hit.end()
+                new.append((text[at:], False))
+            pieces = new
+    return "".join(t for t, _ in pieces)
+
+
+def test_names_are_replaced_as_one_after_the_other(spark):
+    texts = [
+        'Index Scan using IX_A on "Dialog" d', 'Seq Scan on Dialog.Part x, Dialog, "Dialog.Part"', 'on "The Long Name" on Long', 'Filter: "The Long Name" "Long" Name. The Long Names',
+        'on IX_A.x IX_AB IX_A', "", None, 'on "Über_1" on Über_1x on Über_1', '"A.B.C" "A.B" A.B.C A.B', 'on "AA" on AA, AB',
+    ]
+    lines = spark.createDataFrame(list(enumerate(texts)), "line_no int, line string").repartition(3)
+    encoded, dictionary = analytics.dictionary_encode(lines)
+    terms = [r for r in dictionary.collect() if r["kind"] == "term"]
+    names = sorted((r["code"], r["text"]) for r in dictionary.collect() if r["kind"] == "name")
+    assert len(terms) == 41 and len(names) > 8
+    for r in encoded.collect():
+        want = texts[r["line_no"]]
+        if want is not None:
+            want = _encoded(want, names)
+            for term, code in sorted(zip(analytics.COMMON_TERMS, analytics.TERM_CODES), key=lambda t: -len(t[0])):
+                want = re.sub(re.escape(term) if term.endswith(":") or " " in term else rf"\b{re.escape(term)}\b", lambda _, c=code: c, want)
+        assert r["line"] == want
+
+
+def test_codes_go_on_after_two_letters(spark):
+    lines = spark.createDataFrame([(i, f'on "Name{i}"') for i in range(700)], "line_no int, line string")
+    encoded, dictionary = analytics.dictionary_encode(lines)
+    codes = {r["text"]: r["code"] for r in dictionary.collect()}
+    assert [codes[f"Name{i}"] for i in (0, 25, 26, 675, 676, 699)] == ["AA", "AZ", "BA", "ZZ", "AAA", "AAX"]
+    assert {r["line"].split()[-1] for r in encoded.where("line_no in (3, 690)").collect()} == {codes["Name3"], codes["Name690"]}
+
+
 def test_multiset_diff_equals_except_all(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
     b = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (4, "z")], "k int, v string")
