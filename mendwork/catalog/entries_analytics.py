@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
 from mendwork.functions.durable import shared_dir
+from mendwork.functions.ranking import add_position
 from mendwork.operators import analytics as m
 from mendwork.operators import equivalence as eq
 from mendwork.operators import workload as w
+from mendwork.operators.plan_tree import plan_nodes
 from mendwork.operators.search import explode_permissions
-from mendwork.sources import logs, pools, sinks, staging
+from mendwork.sources import logs, pools, run_folder, sinks, staging
 
 VARIANTS = ("click", "error", "purchase", "signup", "view")
 
@@ -76,16 +79,41 @@ def src4_explode_permissions_by_service(v: Views) -> DataFrame:
     return rows.select("case_no", "group_no", "service", F.array_join("parties", ",").alias("parties"))
 
 
+def _pool_records(v: Views) -> DataFrame:
+    odd = F.when(F.col("n") % 7 == 0, F.array()).otherwise(F.array_append(F.col("services"), F.col("services")[0]))
+    pool = v.party_service.groupBy("party").agg(F.collect_set("service").alias("services"), F.count(F.lit(1)).alias("n"))
+    return pool.select(
+        F.when(F.col("n") % 5 == 0, F.lit("")).otherwise(F.col("party")).alias("Party"), F.col("n").alias("EstimatedDialogCount"), odd.alias("Services")
+    )
+
+
+def src5_read_json_array(v: Views) -> DataFrame:
+    """The same records as JSON arrays, one for each file, with rejected entries beside the pool."""
+
+    def arrays(batches):
+        first = True
+        for batch in batches:
+            lines = [("[" if first and i == 0 else ",") + text for i, text in enumerate(batch.column(0).to_pylist())]
+            first = first and not lines
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"], pa.string())], names=["value"])
+
+    path = _folder(v)
+    _pool_records(v).select(F.to_json(F.struct("Party", "EstimatedDialogCount", "Services"))).mapInArrow(arrays, "value string").write.text(path)
+    found, rejected = pools.read_party_service_pool(v.spark, path)
+    entry = F.from_json("entry", "struct<Party:string,EstimatedDialogCount:bigint,Services:array<string>>")
+    return found.withColumn("rejected", F.lit(False)).unionByName(
+        rejected.select(entry.alias("e")).select(
+            F.col("e.Party").alias("party"), F.col("e.EstimatedDialogCount").alias("estimated_count"), F.sort_array(F.array_distinct("e.Services")).alias("services"),
+            F.lit(True).alias("rejected"),
+        )
+    ).withColumn("services", F.array_join("services", ","))
+
+
 def src5_read_party_service_pool(v: Views) -> DataFrame:
     """One JSON object per party, some of them malformed, some without services."""
     path = _folder(v)
-    odd = F.when(F.col("n") % 7 == 0, F.array()).otherwise(F.array_append(F.col("services"), F.col("services")[0]))
-    pool = v.party_service.groupBy("party").agg(F.collect_set("service").alias("services"), F.count(F.lit(1)).alias("n"))
-    pool.select(
-        F.when(F.col("n") % 5 == 0, F.lit("")).otherwise(F.col("party")).alias("Party"),
-        F.col("n").alias("EstimatedDialogCount"),
-        odd.alias("Services"),
-    ).write.json(path)
+    _pool_records(v).write.json(path)
     found, _ = pools.read_party_service_pool(v.spark, path, lines=True)
     return found.select("party", "estimated_count", F.array_join("services", ",").alias("services"))
 
@@ -111,8 +139,17 @@ def src7_read_run_rows(v: Views) -> DataFrame:
     return logs.read_run_records(v.spark, path, "csv")
 
 
+def _plan_text(v: Views) -> DataFrame:
+    """The plan lines written as one text log for each file name, and read back as blocks."""
+    path = _folder(v)
+    lines = v.plan_line.repartition("file").sortWithinPartitions("file", "pos")
+    lines.select(F.col("file").alias("log"), "line").write.partitionBy("log").text(path)
+    return logs.split_plan_text(v.spark, path)
+
+
 def src8_split_plan_text(v: Views) -> DataFrame:
-    return m.split_blocks(v.plan_line.select("file", "chunk", F.col("pos").alias("at"), "line")).select("case", "variant", F.col("at").alias("pos"), "line")
+    blocks = _plan_text(v).withColumn("log", F.regexp_extract("file", "/log=([^/]+)/", 1))
+    return add_position(blocks, [F.col("chunk"), F.col("at")], group=["log"], name="pos").select("log", "case", "variant", "pos", "line")
 
 
 def snk1_export_batch_log(v: Views) -> DataFrame:
@@ -158,6 +195,26 @@ def m1_plan_metrics(v: Views) -> DataFrame:
     )
 
 
+def m1_plan_nodes(v: Views) -> DataFrame:
+    """Every node of the readable plans with its place in the tree."""
+    read = m.read_plans(v.plan_json.withColumn("plan", _broken()))
+    fields = (("node_type", "Node Type", "string"), ("relation_name", "Relation Name", "string"), ("removed", "Rows Removed by Filter", "bigint"))
+    return plan_nodes(read, ["run_id"], fields)
+
+
+def src6_read_plan_logs(v: Views) -> DataFrame:
+    """Plan logs written as the files of a run folder, read back, and turned into metrics."""
+    given = v.sql(
+        """SELECT run_id, concat('case_', CAST(floor(run_id / 20) AS VARCHAR(20))) AS case_id, CAST(run_id % 3 + 1 AS INT) AS pass,
+                  CAST(run_id AS INT) AS run_index, concat('v', CAST(run_id % 2 AS VARCHAR(1))) AS variant, plan FROM plan_json"""
+    )
+    root = _folder(v)
+    run_folder.write_plan_logs(given.withColumn("plan", _broken()), root)
+    return m.plan_metrics(run_folder.read_plan_logs(v.spark, root)).select(
+        "case_id", "pass", "run_index", "variant", "parse_error", "execution_time_ms", "rows_removed", "node_types"
+    )
+
+
 def src9_manifest(v: Views) -> DataFrame:
     """The manifest written as CSV and read back, joined to the metrics of its plans; some runs failed or left no log."""
     runs = v.sql(
@@ -182,8 +239,7 @@ def m8_winners_manifest(v: Views) -> DataFrame:
 
 
 def m2_plan_text_metrics(v: Views) -> DataFrame:
-    blocks = m.split_blocks(v.plan_line.select("file", "chunk", F.col("pos").alias("at"), "line")).withColumnRenamed("at", "line_no")
-    return m.plan_text_metrics(blocks)
+    return m.plan_text_metrics(_plan_text(v).withColumn("line_no", F.struct("chunk", "at")))
 
 
 def _runs(v: Views) -> DataFrame:
@@ -244,10 +300,6 @@ def _cases(v: Views) -> DataFrame:
 
 
 def m11_wide_report(v: Views) -> DataFrame:
-    return m.wide_report(_cases(v), VARIANTS[:2])
-
-
-def m11_wide_report_all(v: Views) -> DataFrame:
     return m.wide_report(_cases(v), VARIANTS)
 
 
@@ -456,6 +508,12 @@ ENTRIES = {
         """SELECT c_custkey AS case_no, 0 AS group_no, unnest(['s1', c_mktsegment, 's1']) AS service, concat(urn, ',', kind) AS parties FROM cust
            UNION ALL SELECT c_custkey, 1, CAST(c_nationkey AS VARCHAR), 'x' FROM cust""",
     ),
+    "src5_read_json_array": (
+        src5_read_json_array,
+        """SELECT CASE WHEN n % 5 = 0 THEN '' ELSE party END AS party, n AS estimated_count, CASE WHEN n % 7 = 0 THEN '' ELSE services END AS services, n % 5 = 0 AS rejected
+           FROM (SELECT party, count(*) AS n, string_agg(service, ',' ORDER BY service) AS services FROM party_service GROUP BY party) p
+           WHERE n % 5 = 0 OR n % 7 <> 0""",
+    ),
     "src5_read_party_service_pool": (
         src5_read_party_service_pool,
         """SELECT party, count(*) AS estimated_count, string_agg(service, ',' ORDER BY service) AS services FROM party_service
@@ -469,7 +527,11 @@ ENTRIES = {
         src7_read_run_rows,
         'SELECT case_name AS "case", variant, exec_ms, shared_read, round FROM run',
     ),
-    "src8_split_plan_text": (src8_split_plan_text, _BLOCKS),
+    "src8_split_plan_text": (
+        src8_split_plan_text,
+        f"""SELECT p.file AS log, b."case", b.variant, row_number() OVER (PARTITION BY p.file ORDER BY b.pos) AS pos, b.line
+            FROM ({_BLOCKS}) b JOIN (SELECT file, pos FROM plan_line) p ON p.pos = b.pos""",
+    ),
     "snk1_export_batch_log": (snk1_export_batch_log, "SELECT * FROM batch_log"),
     "snk2_write_sample_outputs": (
         snk2_write_sample_outputs,
@@ -493,6 +555,20 @@ ENTRIES = {
                        THEN round((event_id % 1000) / CAST(event_id % 1000 + event_id % 5 AS DOUBLE), 6) END AS shared_hit_ratio
            FROM events""",
     ),
+    "m1_plan_nodes": (
+        m1_plan_nodes,
+        f"""SELECT event_id AS run_id, depth, parent, path, node_type, relation_name, CASE WHEN path = '0.0.0' THEN event_id % 4 END AS removed
+            FROM events, (VALUES (0, NULL, '0', 'Limit', NULL), (1, '0', '0.0', 'Nested Loop', NULL), (2, '0.0', '0.0.0', 'Index Scan', 'Dialog'),
+                                 (2, '0.0', '0.0.1', 'Index Scan', NULL)) AS n(depth, parent, path, node_type, relation_name)
+            WHERE {_ERROR} IS NULL""",
+    ),
+    "src6_read_plan_logs": (
+        src6_read_plan_logs,
+        f"""SELECT concat('case_', CAST(event_id // 20 AS VARCHAR)) AS case_id, CAST(event_id % 3 + 1 AS INTEGER) AS pass, CAST(event_id AS INTEGER) AS run_index,
+                   concat('v', CAST(event_id % 2 AS VARCHAR)) AS variant, {_ERROR} AS parse_error, {_ok('user_id + CAST(0.5 AS DOUBLE)')} AS execution_time_ms,
+                   {_ok('event_id % 6 + event_id % 4')} AS rows_removed, {_ok("'Index Scan:2|Limit:1|Nested Loop:1'")} AS node_types
+            FROM events WHERE event_id % 11 <> 7""",
+    ),
     "src9_manifest": (src9_manifest, _MANIFEST),
     "m8_winners_manifest": (
         m8_winners_manifest,
@@ -557,16 +633,6 @@ ENTRIES = {
     "m11_wide_report": (
         m11_wide_report,
         "SELECT category, party_count, service_count, \"case\", "
-        + ", ".join(
-            f"max(CASE WHEN variant = '{x}' THEN {c} END) AS {x}_{c}"
-            for x in VARIANTS[:2]
-            for c in ("exec_ms", "shared_read", "shared_hit", "shared_dirtied", "cache_status")
-        )
-        + f""" FROM (SELECT *, case_name AS "case", {_CATEGORY} AS category, {_STATUS} AS cache_status FROM run) r GROUP BY 1, 2, 3, 4""",
-    ),
-    "m11_wide_report_all": (
-        m11_wide_report_all,
-        "SELECT category, party_count, service_count, \"case\", "
         + ", ".join(
             f"max(CASE WHEN variant = '{x}' THEN {c} END) AS {x}_{c}"
             for x in VARIANTS

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from mendwork.constants import BLOCK_BYTES
 from mendwork.functions.durable import durable
 from mendwork.functions.ranking import add_position, exact_percentiles, join_null_safe
+from mendwork.operators.plan_tree import plan_nodes
 from mendwork.operators.search import PAYLOAD_SCHEMA
 
 # --- plan logs as JSON ------------------------------------------------------------
@@ -49,30 +50,6 @@ PLAN_COUNTERS = (
 ROWS_REMOVED_FIELDS = ("Rows Removed by Filter", "Rows Removed by Join Filter")
 
 
-_SEARCHED = [field for _, field in PLAN_COUNTERS] + list(ROWS_REMOVED_FIELDS)
-# Quotes inside JSON text are escaped, so an unescaped field name is a field. One search finds all wanted pairs.
-_PAIR = rf'(?<!\\)"(?:{"|".join(_SEARCHED)})"\s*:\s*(?:"(?:[^"\\]|\\.)*"|-?[0-9.eE+-]+)'
-_PAIR_PARTS = r'^"([^"]+)"\s*:\s*"?((?:[^"\\]|\\.)*)"?$'
-
-
-def _pairs(plan: Column) -> Column:
-    """The searched fields anywhere in the tree, in order: an array of (field, value), JSON escapes taken out."""
-
-    def read(pair: Column) -> Column:
-        raw = F.regexp_extract(pair, _PAIR_PARTS, 2)
-        text = F.get(F.from_json(F.concat(F.lit('["'), raw, F.lit('"]')), "array<string>"), F.lit(0))
-        return F.struct(
-            F.regexp_extract(pair, _PAIR_PARTS, 1).alias("field"),
-            F.when(raw.contains("\\"), text).otherwise(raw).alias("value"),
-        )
-
-    return F.transform(F.regexp_extract_all(plan, F.lit(_PAIR), F.lit(0)), read)
-
-
-def _values(pairs: Column, *fields: str) -> Column:
-    return F.transform(F.filter(pairs, lambda p: p["field"].isin(*fields)), lambda p: p["value"])
-
-
 def _counted(names: Column) -> Column:
     """``name:count`` pairs joined by ``|`` in name order."""
     pairs = F.transform(
@@ -82,46 +59,58 @@ def _counted(names: Column) -> Column:
     return F.array_join(pairs, "|")
 
 
-def plan_metrics(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
-    """Metrics of JSON plans, one row per log; the other columns are kept and the plan text is dropped.
+_NODE_FIELDS = (
+    *[(name.removesuffix("s"), field, "string") for name, field in PLAN_COUNTERS],
+    *[(f"_removed{i}", field, "double") for i, field in enumerate(ROWS_REMOVED_FIELDS)],
+)
 
-    Times and block counts come from the root node (a field missing there is 0), the hit ratio is null without
-    blocks, and removed rows and name counts cover the whole tree. A text that is no plan has null metrics and says
-    why in ``parse_error``, which is null otherwise. All of it is string work inside one scan.
-    """
-    text = F.col(plan)
+
+def read_plans(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
+    """``plan_logs`` with each plan's ``root`` node as VARIANT instead of its text, ``_top`` with the fields beside and on
+    the root, ``parse_error`` and a number ``_log`` for each log, stored."""
     node = ", ".join(f"`{field}`: double" for _, field in PLAN_FIELDS)
     shape = f"array<struct<`Plan`: struct<{node}>, `Planning Time`: double, `Execution Time`: double, `JIT`: string>>"
-    top = F.col("_root")[0]
+    top = F.get(F.from_json(F.col(plan), shape), F.lit(0))
     error = (
         F.when(F.col(plan).isNull(), F.lit("no plan log"))
-        .when(top.isNull(), F.lit("not a JSON plan"))
-        .when(top["Plan"].isNull(), F.lit("no plan in the log"))
+        .when(F.col("_top").isNull(), F.lit("not a JSON plan"))
+        .when(F.col("_top.Plan").isNull(), F.lit("no plan in the log"))
+    )
+    read = plan_logs.withColumn("_top", top).withColumn("parse_error", error)
+    root = F.when(F.col("parse_error").isNull(), F.try_variant_get(F.try_parse_json(plan), "$[0].Plan", "variant"))
+    return durable(read.withColumns({"root": root, "_log": F.monotonically_increasing_id()}).drop(plan))
+
+
+def plan_metrics(plan_logs: DataFrame, plan: str = "plan") -> DataFrame:
+    """Metrics of JSON plans, one row per log; the other columns are kept and the plan text is dropped.
+
+    Times and block counts come from the root node (a field missing there is 0), the hit ratio is null without
+    blocks, and removed rows and name counts cover all nodes of the tree, see :func:`plan_tree.plan_nodes`. A text that
+    is no plan has null metrics and says why in ``parse_error``, which is null otherwise. Texts are parsed once.
+    """
+    kept = [c for c in plan_logs.columns if c != plan]
+    read = read_plans(plan_logs, plan)
+    nodes = plan_nodes(read, ["_log"], _NODE_FIELDS)
+    removed = [F.coalesce(F.col(name).cast("long"), F.lit(0)) for name, _, kind in _NODE_FIELDS if kind == "double"]
+    names = [name.removesuffix("s") for name, _ in PLAN_COUNTERS]
+    trees = nodes.groupBy("_log").agg(
+        F.sum(reduce(lambda a, b: a + b, removed)).alias("_rows_removed"), *[F.collect_list(F.nullif(F.col(n), F.lit(""))).alias(f"_{n}") for n in names]
     )
 
     def of_plan(value: Column) -> Column:
         return F.when(F.col("parse_error").isNull(), value)
 
-    fields = [of_plan(F.coalesce(top["Plan"][field], F.lit(0.0))).alias(name) for name, field in PLAN_FIELDS]
-    removed = F.aggregate(
-        _values(F.col("_pairs"), *ROWS_REMOVED_FIELDS),
-        F.lit(0.0),
-        lambda acc, x: acc + F.coalesce(x.try_cast("double"), F.lit(0.0)),
-    )
-    kept = [c for c in plan_logs.columns if c != plan]
+    fields = [of_plan(F.coalesce(F.col("_top.Plan")[field], F.lit(0.0))).alias(name) for name, field in PLAN_FIELDS]
     blocks = F.col("shared_hit_blocks") + F.col("shared_read_blocks")
-    # The text is parsed once and searched once; the second step counts over the found pairs.
-    read = plan_logs.select(*kept, plan, F.from_json(text, shape).alias("_root"), _pairs(text).alias("_pairs"))
-    read = read.withColumn("parse_error", error).drop(plan)
-    return read.select(
+    return read.join(trees, "_log", "left").select(
         *kept,
         "parse_error",
-        of_plan(F.coalesce(top["Planning Time"], F.lit(0.0))).alias("planning_time_ms"),
-        of_plan(F.coalesce(top["Execution Time"], F.lit(0.0))).alias("execution_time_ms"),
+        of_plan(F.coalesce("_top.Planning Time", F.lit(0.0))).alias("planning_time_ms"),
+        of_plan(F.coalesce("_top.Execution Time", F.lit(0.0))).alias("execution_time_ms"),
         *fields,
-        of_plan(removed.cast("long")).alias("rows_removed"),
-        *[of_plan(_counted(_values(F.col("_pairs"), field))).alias(name) for name, field in PLAN_COUNTERS],
-        top["JIT"].alias("jit"),
+        of_plan(F.col("_rows_removed")).alias("rows_removed"),
+        *[of_plan(_counted(F.col(f"_{name}"))).alias(column) for name, (column, _) in zip(names, PLAN_COUNTERS)],
+        F.col("_top.JIT").alias("jit"),
     ).withColumn("shared_hit_ratio", F.when(blocks > 0, F.col("shared_hit_blocks") / blocks))
 
 

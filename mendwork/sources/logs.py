@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from mendwork.operators.analytics import split_blocks
 
 # fixed value: where a plan log lies under its run folder
 PLAN_PATH = r"/raw/([^/]+)/pass_0*([0-9]+)/run_0*([0-9]+)/([^/]+)/explain\.json$"
+PLAN_PATTERN = re.compile(PLAN_PATH)
 
 
 def read_plan_logs(spark: SparkSession, root: str, file_name: str = "explain.json") -> DataFrame:

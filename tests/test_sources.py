@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from mendwork.operators import analytics, workload
 from mendwork.operators.equivalence import multiset_diff, variant_pairs
-from mendwork.sources import logs, pools, staging
+from mendwork.operators.plan_tree import plan_nodes
+from mendwork.sources import logs, pools, run_folder, staging
 
 
 def test_label_csv_spellings_and_rejects(spark, tmp_path):
@@ -55,6 +56,41 @@ def test_pool_rejects_malformed_entries(spark, tmp_path):
     assert rejected.count() == 6
 
 
+def test_a_json_array_is_read_in_splits(spark, tmp_path):
+    texts = ["x}{][", 'say "}, {"', "back\\slash}", "", "\\", '"', "é日}", "a" * 300]
+    entries = [
+        {"Party": f"p{i}", "Services": ["b", texts[i % 8] + "s", "b"], "EstimatedDialogCount": i, "More": [{"x": {"y": [i, "}"]}}, "]"], "k}": None} for i in range(400)
+    ]
+    entries[17] = 5
+    entries[40:42] = [None, "text }"]
+    entries[-1] = [1, 2]
+    for name, indent in (("one", None), ("two", 1)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(entries, indent=indent, ensure_ascii=name == "one"))
+    (tmp_path / "none.json").write_text(" [\n ] ")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        for name in ("one", "two", "none"):
+            read = pools.json_array_elements(spark, str(tmp_path / f"{name}.json"))
+            got = [json.loads(r[0]) for r in read.select(F.to_json("v")).collect() if r[0] is not None]
+            want = entries if name != "none" else []
+            nulls = read.where("v is null or is_variant_null(v)").count()
+            dumped = [json.dumps(e, sort_keys=True) for e in want if e is not None]
+            assert sorted(json.dumps(g, sort_keys=True) for g in got if g is not None) == sorted(dumped) and nulls == (1 if want else 0)
+        chunks = spark.read.option("lineSep", "}").text(str(tmp_path / "one.json")).rdd.getNumPartitions()
+        assert chunks > 10
+        pool, rejected = pools.read_party_service_pool(spark, str(tmp_path))
+        assert pool.count() == 2 * 396 and rejected.count() == 2 * 4
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_text_that_is_no_json_is_rejected_as_it_stands(spark, tmp_path):
+    (tmp_path / "p.json").write_text('[{"Party": "p1", "Services": ["a"]}, {"Party": oops}, {"Party": "p2", "Services": ["b"]}]')
+    pool, rejected = pools.read_party_service_pool(spark, str(tmp_path / "p.json"))
+    assert sorted(r["party"] for r in pool.collect()) == ["p1", "p2"]
+    assert [r["entry"].strip() for r in rejected.collect()] == ['{"Party": oops}']
+
+
 PLAN = [
     {
         "Plan": {
@@ -83,6 +119,39 @@ def test_plan_logs_to_metrics(spark, tmp_path, indent):
     assert row["shared_hit_ratio"] == pytest.approx(360 / 400)
 
 
+def test_run_folder_round_trip_and_its_commit(spark, tmp_path):
+    root = str(tmp_path / "run")
+    rows = [(f"case_{i % 5}", 1 + i % 2, i, "vA", json.dumps(PLAN) if i % 4 else "{broken") for i in range(40)] + [("case_x", 1, 1, "vB", None)]
+    plans = spark.createDataFrame(rows, "case_id string, pass int, run_index int, variant string, plan string").repartition(4)
+    run_folder.write_plan_logs(plans, root)
+    assert (tmp_path / "run/raw/case_3/pass_002/run_3/vA/explain.json").read_text() == json.dumps(PLAN)
+    back = run_folder.read_plan_logs(spark, root)
+    assert sorted(tuple(r) for r in back.drop("path").collect()) == sorted(r for r in rows if r[4] is not None)
+    assert sorted(map(tuple, logs.read_plan_logs(spark, root).drop("path").collect())) == sorted(map(tuple, back.drop("path").collect()))
+    assert analytics.plan_metrics(back).where("parse_error is null").count() == 30
+    run_folder.write_plan_logs(plans.where("run_index = 5").withColumn("case_id", F.lit("later")), root)
+    assert run_folder.read_plan_logs(spark, root).count() == 41 and run_folder.read_plan_logs(spark, str(tmp_path / "none")).count() == 0
+    bad = plans.withColumn("case_id", F.when(F.col("run_index") == 7, "../up").otherwise("never"))
+    with pytest.raises(Exception, match="cannot name a folder"):
+        run_folder.write_plan_logs(bad, root)
+    assert not (tmp_path / "run/raw/never").exists() and list((tmp_path / "run/_staging").iterdir()) == []
+
+
+def test_tree_is_walked_and_not_searched(spark):
+    deep = node = {"Node Type": "Append"}
+    for _ in range(12):
+        node["Plans"] = [{"Node Type": "Append"}]
+        node = node["Plans"][0]
+    plan = {"Node Type": "Limit", "Workers": [{"Node Type": "Not a node", "Sort Method": "x"}], "Rows Removed by Filter": 2.9, "Node Type of": "no",
+            "Filter": "\"Node Type\":\"Decoy\"", "Plans": [{"Node Type": "Sort", "Sort Method": "quicksort"}, {"Plans": []}, deep, {"Node Type": "", "Plans": None}]}
+    logged = spark.createDataFrame([(1, json.dumps([{"Plan": plan}])), (2, json.dumps([{"Plan": {}}])), (3, "[]")], "id int, plan string")
+    rows = {r["id"]: r for r in analytics.plan_metrics(logged).collect()}
+    assert rows[1]["node_types"] == "Append:13|Limit:1|Sort:1" and rows[1]["sort_methods"] == "quicksort:1" and rows[1]["rows_removed"] == 2
+    assert rows[2]["node_types"] == "" and rows[2]["rows_removed"] == 0 and rows[3]["parse_error"] == "not a JSON plan"
+    nodes = plan_nodes(analytics.read_plans(logged), ["id"], [("kind", "Node Type", "string")]).where("id = 1")
+    assert nodes.agg(F.max("depth")).first()[0] == 13 and nodes.where("path = '0.2.0.0'").first()["parent"] == "0.2.0"
+
+
 def test_plan_text_split_over_many_chunks(spark, tmp_path):
     text = "ignored\n"
     for case in range(40):
