@@ -2,7 +2,9 @@
 
 The byte-level vocabulary cuts a text at every place where white space follows other text, so a text's ids are
 the ids of its words, each with the space before it. Words repeat, so their ids are kept per Python worker and
-the library merges each of their parts once. Texts whose spacing is unusual go through the library whole.
+the library merges each of their parts once. What is kept is held in two generations: words met again move to the younger
+one, and the older is dropped when that is full, so words seen once leave and common ones stay. Texts whose spacing is
+unusual, or that hold the name of an added token, go through the library whole.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from functools import lru_cache
 
 import numpy as np
 
-# Up to so many words are kept per worker, each up to so many characters.
-KNOWN_WORDS = 200_000
+# Up to so many words are kept per worker in both generations, each up to so many characters.
+KNOWN_WORDS = 600_000
 KNOWN_CHARS = 48
 END_ID = 0
 # Printable ASCII, the line feed, and letters up to U+167F: among these, only space and line feed are white space.
@@ -32,6 +34,12 @@ def default_tokenizer() -> str:
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(f"[\n !-~{_LETTERS}]*")
 _PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+_PART = re.compile(f"[{_LETTERS}]+")
+_END_SIGNS = frozenset(".,;:!?")
+
+
+def _one_part(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or _PART.fullmatch(word) is not None)
 
 
 def _byte_signs() -> dict[int, str]:
@@ -41,46 +49,76 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Parts(dict):
+class _Kept(dict):
+    """Ids of words by word, the younger generation; ``_older`` is the one before."""
+
+    def __init__(self):
+        super().__init__()
+        self._older: dict[str, bytes] = {}
+
+    def _ids(self, word: str) -> bytes:
+        raise NotImplementedError
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self._older.pop(word, None)
+        if ids is None:
+            ids = self._ids(word)
+            if len(word) > KNOWN_CHARS:
+                return ids
+        if len(self) >= KNOWN_WORDS // 2:
+            self._older = self.copy()
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+class _Parts(_Kept):
     """Ids of the parts that the vocabulary cuts words into; each is merged by the library's model once."""
 
     def __init__(self, model):
         super().__init__()
         self._model, self._signs = model, _byte_signs()
 
-    def __missing__(self, part: str) -> bytes:
-        found = self._model.tokenize(part.encode().decode("latin-1").translate(self._signs))
-        ids = array("I", [token.id for token in found]).tobytes()
-        if len(part) <= KNOWN_CHARS:
-            if len(self) >= KNOWN_WORDS:
-                self.clear()
-            self[part] = ids
-        return ids
+    def _ids(self, part: str) -> bytes:
+        # Of the ASCII signs a part may hold, only the space and the line feed are written otherwise.
+        plain = part.isascii() and "\n" not in part
+        written = part.replace(" ", "Ġ") if plain else part.encode().decode("latin-1").translate(self._signs)
+        return array("I", [token.id for token in self._model.tokenize(written)]).tobytes()
 
 
-class _Words(dict):
+class _Words(_Kept):
     """Ids of words with ``lead`` before them."""
 
     def __init__(self, tokenizer, parts: _Parts, lead: str):
         super().__init__()
         self._tokenizer, self._parts, self._lead = tokenizer, parts, lead
+        self._merge, self._written = tokenizer.model.tokenize, lead.replace(" ", "Ġ")
 
     def __missing__(self, word: str) -> bytes:
+        # The usual case of the general way, without its calls: a new word of ASCII letters is one part.
+        if word.isalpha() and word.isascii() and len(word) <= KNOWN_CHARS and len(self) < KNOWN_WORDS // 2:
+            ids = self._older.pop(word, None)
+            if ids is None:
+                ids = array("I", [token.id for token in self._merge(self._written + word)]).tobytes()
+            self[word] = ids
+            return ids
+        return super().__missing__(word)
+
+    def _ids(self, word: str) -> bytes:
         whole = self._lead + word
+        # Most words are one part, or one and the sign that ends them; such a part is kept as a word of its own.
+        if _one_part(word):
+            return self._parts._ids(whole)
+        if word[-1:] in _END_SIGNS and _one_part(word[:-1]):
+            return self[word[:-1]] + self._parts[word[-1]]
         if _PLAIN.fullmatch(whole):
             parts = self._parts
-            ids = b"".join([parts[p] for p in _PARTS.findall(whole)])
-        else:
-            ids = array("I", self._tokenizer.encode(whole, add_special_tokens=False).ids).tobytes()
-        if len(word) <= KNOWN_CHARS:
-            if len(self) >= KNOWN_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+            return b"".join([parts[p] for p in _PARTS.findall(whole)])
+        return array("I", self._tokenizer.encode(whole, add_special_tokens=False).ids).tobytes()
 
 
 class Encoder:
-    """Encodes texts to little-endian unsigned 32-bit ids; a special token's name in a text is ordinary text.
+    """Encodes texts to little-endian unsigned 32-bit ids, as the library's ``encode`` without added special tokens.
 
     Vocabularies that are not byte-level, or that change a text first, get every text whole.
     """
@@ -89,7 +127,7 @@ class Encoder:
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         self._tokenizer = t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+        self._added = [token.content for token in t.get_added_tokens_decoder().values()]
         by_bytes = isinstance(t.pre_tokenizer, pre_tokenizers.ByteLevel) and not t.pre_tokenizer.add_prefix_space
         self._by_word = by_bytes and t.normalizer is None and isinstance(t.model, models.BPE)
         parts = _Parts(t.model)
@@ -98,12 +136,12 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self._by_word or "  " in text or "\n " in text or _UNUSUAL.search(text):
+        if not self._by_word or "  " in text or "\n " in text or _UNUSUAL.search(text) or any([name in text for name in self._added]):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         first, *later = text.split(" ")
         known = self._later
         head = self._first[first] if first else b""
-        return head + b"".join([known[word] for word in later])
+        return head + b"".join(map(known.__getitem__, later))
 
     def document(self, text: str | None) -> np.ndarray:
         """Ids of a text (null: empty), followed by the end id."""

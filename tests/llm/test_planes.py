@@ -5,7 +5,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from mendwork.functions.durable import new_stage
-from mendwork.llm import planes
+from mendwork.llm import encoding, planes
 from mendwork.llm.encoding import Encoder, default_tokenizer
 
 ODD = ["", "a  b", "a \nb\n", " a", "a\n b", "it's  we'll", "it's we'll a.\nb", "a \n", "\n\nb", "日本 語 12 ½ a b", "tab\there", "½ a²b x_y __a1 \n\n\nq", "é1é .,a", " x  y", "’s İ ﬀ"]
@@ -17,8 +17,23 @@ def test_encoder_gives_the_library_ids(spark):
     docs = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     for text in ODD + docs:
         assert np.frombuffer(encode.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
-    special = np.frombuffer(encode.encode("a<|endoftext|>b"), "<u4")
-    assert 50256 not in special
+    for text in ("one<|endoftext|>two", "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext", "<|EndOfText|>"):
+        assert np.frombuffer(encode.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert 50256 in np.frombuffer(encode.encode("one<|endoftext|>two"), "<u4")
+
+
+def test_common_words_stay_kept(monkeypatch):
+    monkeypatch.setattr(encoding, "KNOWN_WORDS", 40)
+    encode, t = Encoder(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+    asked = []
+    merge, other = encode._later._merge, encode._later._ids
+    monkeypatch.setattr(encode._later, "_merge", lambda word: asked.append(word) or merge(word))
+    monkeypatch.setattr(encode._later, "_ids", lambda word: asked.append(word) or other(word))
+    for i in range(500):
+        text = f"x common once{i} words other{i}"
+        assert np.frombuffer(encode.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+        assert len(encode._later) + len(encode._later._older) <= 40
+    assert asked.count("Ġcommon") == asked.count("Ġwords") == 1 and len(asked) == 1002
 
 
 @pytest.mark.parametrize("unit", ["byte", "bit"])
