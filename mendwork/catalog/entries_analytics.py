@@ -335,6 +335,13 @@ def e1_multiset_diff(v: Views) -> DataFrame:
     return eq.multiset_diff(*_two(v))
 
 
+def e1_multiset_diff_digest(v: Views) -> DataFrame:
+    """The differing rows by way of bucket digests, few buckets being read in full."""
+    a, _ = _two(v)
+    few = F.when((F.col("l_orderkey") % 997 == 0), F.lit("?")).otherwise(F.col("l_returnflag"))
+    return eq.multiset_diff_by_digest(a, a.withColumn("l_returnflag", few))
+
+
 def e1_diff_count(v: Views) -> DataFrame:
     return eq.diff_count(eq.multiset_diff(*_two(v)), ["l_linenumber"])
 
@@ -661,6 +668,11 @@ ENTRIES = {
             UNION ALL SELECT 'term', unnest({list(m.COMMON_TERMS)!r}), unnest({list(m.TERM_CODES[: len(m.COMMON_TERMS)])!r})""",
     ),
     "e1_multiset_diff": (e1_multiset_diff, _DIFF),
+    "e1_multiset_diff_digest": (
+        e1_multiset_diff_digest,
+        """SELECT l_orderkey, l_linenumber, CASE WHEN s.side = 'left' THEN l_returnflag ELSE '?' END AS l_returnflag, s.side, count(*) AS copies
+           FROM lineitem, (VALUES ('left'), ('right')) s(side) WHERE l_orderkey % 997 = 0 GROUP BY ALL""",
+    ),
     "e1_diff_count": (
         e1_diff_count,
         f"SELECT l_linenumber, CAST(sum(copies) AS BIGINT) AS diff_count FROM ({_DIFF}) d GROUP BY l_linenumber",

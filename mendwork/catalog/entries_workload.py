@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from mendwork.catalog.views import Views
 from mendwork.functions.columns import party_key, stratum
-from mendwork.functions.durable import durable
+from mendwork.functions.durable import durable, new_stage
+from mendwork.functions.text import build_tokens
 from mendwork.operators import workload as w
+from mendwork.sources.pools import read_party_service_pool
 
 SEED = 7
 
@@ -34,6 +36,20 @@ def w2_heavy_hitters_sketch(v: Views) -> DataFrame:
     return w.heavy_hitters(v.dialog, "service", 5, exact=False)
 
 
+def w2_heavy_hitters_two_pass(v: Views) -> DataFrame:
+    """The commonest words of all documents; far more words than counters."""
+    words = build_tokens(v.documents).select(F.explode("tokens").alias("word"))
+    return w.heavy_hitters_two_pass(words, "word", 20, counters=2000)
+
+
+def w3_written_pool(v: Views) -> DataFrame:
+    """The whole pool written one object per line and read back."""
+    path = new_stage(v.spark)
+    w.write_pool(v.party_dist.join(v.party_service.groupBy("party").agg(F.collect_set("service").alias("services")), "party"), path)
+    pool, _ = read_party_service_pool(v.spark, path, lines=True)
+    return pool.select("party", "estimated_count", _joined("services"))
+
+
 def w3_hot_party_services(v: Views) -> DataFrame:
     found = w.hot_party_services(v.party_dist, v.pr_party, v.pr_party_resource, v.pr_resource, 30)
     return found.select("party", "estimated_count", _joined("services"))
@@ -284,6 +300,16 @@ ENTRIES = {
         w2_heavy_hitters_sketch,
         "SELECT service, count(*) AS estimated_count FROM dialog GROUP BY service",
     ),
+    "w2_heavy_hitters_two_pass": (
+        w2_heavy_hitters_two_pass,
+        r"""SELECT word, count(*) AS estimated_count FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM documents) d
+            GROUP BY word ORDER BY estimated_count DESC, word LIMIT 20""",
+    ),
+    "w3_written_pool": (
+        w3_written_pool,
+        """SELECT party, h.estimated_count, string_agg(DISTINCT service, ',' ORDER BY service) AS services
+           FROM party_dist h JOIN party_service s USING (party) GROUP BY party, h.estimated_count""",
+    ),
     "w3_hot_party_services": (
         w3_hot_party_services,
         f"""SELECT h.party, estimated_count, services FROM party_dist h

@@ -9,6 +9,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mendwork.functions.durable import durable
+
 
 def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows that occur more often on one side: the columns of ``a``, side ('left' or 'right'), copies.
@@ -30,6 +32,41 @@ def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+# Buckets of rows whose digests are compared.
+DIGEST_BUCKETS = 4096
+
+
+def _bucketed(rows: DataFrame, columns: Sequence[str], buckets: int) -> DataFrame:
+    return rows.select(*columns, F.pmod(F.xxhash64(F.lit(0), *columns), F.lit(buckets)).alias("_bucket"))
+
+
+def bucket_digests(rows: DataFrame, columns: Sequence[str], buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """``_bucket``, ``n`` and a 128-bit digest ``d1``, ``d2`` of the rows in each bucket.
+
+    Rows go to buckets by a hash of their values; a digest is the sums of two other hashes, so it does not depend on order
+    and counts repeats. Sums are formed in the tasks first: only one row a bucket and task is shuffled.
+    """
+    halves = [F.sum(F.xxhash64(F.lit(salt), *columns).cast("decimal(20,0)")).alias(f"d{salt}") for salt in (1, 2)]
+    return _bucketed(rows, columns, buckets).groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), *halves)
+
+
+def multiset_diff_by_digest(a: DataFrame, b: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """As :func:`multiset_diff`, for results that are mostly equal: digests of buckets are compared first, and only rows of
+    buckets that differ are counted against each other.
+
+    Equal results shuffle digests alone. Both sides are scanned twice. Two different buckets pass for equal with a chance of
+    about 2**-128.
+    """
+    columns = a.columns
+    left, right = bucket_digests(a, columns, buckets), bucket_digests(b, columns, buckets)
+    named = right.select("_bucket", *[F.col(c).alias(f"_{c}") for c in ("n", "d1", "d2")])
+    same = (F.col("n") == F.col("_n")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
+    # At most one row a bucket; stored, so the join below is planned on its size.
+    differing = durable(left.join(named, "_bucket", "full").where(~F.coalesce(same, F.lit(False))).select("_bucket"))
+    parts = [_bucketed(side, columns, buckets).join(differing, "_bucket", "left_semi").select(*columns) for side in (a, b)]
+    return multiset_diff(*parts)
+
+
 def diff_count(diff: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Number of differing rows, overall or per key."""
     total = F.coalesce(F.sum("copies"), F.lit(0)).cast("long").alias("diff_count")
