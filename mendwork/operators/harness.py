@@ -82,6 +82,35 @@ def claim(
     return out if max_batches is None else out.where(F.col("batch_no") <= max_batches)
 
 
+def _claims(claimed: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """One row a claimed key with its smallest payload, and ``_claimed``; stored, so that joins are planned on its size."""
+    keys = list(on.values())
+    payload = [c for c in claimed.columns if c not in keys]
+    least = F.min(F.struct(*payload)) if payload else F.min(F.lit(0))
+    one = claimed.groupBy(*keys).agg(least.alias("_payload"))
+    return durable(one.select(*keys, *[F.col(f"_payload.{p}").alias(p) for p in payload], F.lit(True).alias("_claimed")))
+
+
+def _match(on: Mapping[str, str]) -> list[Column]:
+    return [F.col(f"t.{tk}") == F.col(f"c.{ck}") for tk, ck in on.items()]
+
+
+def _delta(target: DataFrame, claims: DataFrame, on: Mapping[str, str], set_: Mapping[str, Column], guard: Column) -> DataFrame:
+    hit = target.alias("t").join(claims.alias("c"), _match(on)).where(guard)
+    return hit.select(*[F.col(f"t.{k}").alias(k) for k in on], *[value.alias(name) for name, value in set_.items()])
+
+
+def update_delta(
+    target: DataFrame, claimed: DataFrame, on: Mapping[str, str], set_: Mapping[str, Column], guard: Column
+) -> DataFrame:
+    """The changes of :func:`apply_update` alone: target keys and new values of the changed columns, a row for each changed row.
+
+    Only the keys and what ``set_`` and ``guard`` name are read of the target, and only changed rows leave the join; few
+    claims are broadcast, so the target is not shuffled. A table that takes deltas (merge on read) needs no more.
+    """
+    return _delta(target, _claims(claimed, on), on, set_, guard)
+
+
 def apply_update(
     target: DataFrame,
     claimed: DataFrame,
@@ -94,27 +123,20 @@ def apply_update(
     ``on`` maps target key columns to claimed columns. ``set_`` and ``guard`` refer to the two sides as
     ``t.<column>`` and ``c.<column>``; a null guard means no change. Returns the new target and the claimed
     keys that were changed, once each. Of claims that repeat a key the smallest payload counts, so no target row
-    is multiplied. The target is joined once: the result is stored, and both frames read it.
+    is multiplied. Neither frame is a copy: the changed keys come from the delta, which is stored, and the new target is
+    joined to the claims when the caller writes it.
     """
-    keys = list(on.values())
-    payload = [c for c in claimed.columns if c not in keys]
-    least = F.min(F.struct(*payload)) if payload else F.min(F.lit(0))
-    one = claimed.groupBy(*keys).agg(least.alias("_payload"), F.lit(True).alias("_claimed"))
-    c = one.select(*keys, *([F.col(f"_payload.{p}").alias(p) for p in payload]), "_claimed").alias("c")
-    t = target.alias("t")
-    match = [F.col(f"t.{tk}") == F.col(f"c.{ck}") for tk, ck in on.items()]
+    claims = _claims(claimed, on)
+    delta = durable(_delta(target, claims, on, set_, guard))
+    touched = delta.select(*[F.col(tk).alias(ck) for tk, ck in on.items()]).distinct()
     hit = F.coalesce(F.col("c._claimed") & guard, F.lit(False))
-    joined = t.join(c, match, "left").select(
+    new = target.alias("t").join(claims.alias("c"), _match(on), "left").select(
         *[
             F.when(hit, set_[col]).otherwise(F.col(f"t.{col}")).alias(col) if col in set_ else F.col(f"t.{col}")
             for col in target.columns
-        ],
-        hit.alias("_hit"),
-        *[F.col(f"c.{k}").alias(f"_key_{k}") for k in keys],
+        ]
     )
-    stored = durable(joined)
-    touched = stored.where("_hit").select(*[F.col(f"_key_{k}").alias(k) for k in keys]).distinct()
-    return stored.select(*target.columns), touched
+    return new, touched
 
 
 def mark(

@@ -21,12 +21,27 @@ from mendwork.constants import (
     TRANSMISSION_SUBMISSION,
 )
 from mendwork.functions.columns import Moment, moment, seconds_between
+from mendwork.functions.durable import durable
 from mendwork.functions.ranking import add_position, first_n
 from mendwork.operators.harness import apply_update
 
 CANDIDATE_KEY = ("repair_name", "dialog_id")
 
 
+def _facts_of(ids: DataFrame, transmissions: DataFrame, activities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The transmissions of the dialogs ``ids`` (``dialog_id``, once each), and the activities that say something about these
+    dialogs or transmissions.
+
+    Small sets of ids are broadcast, so of the large tables only what belongs to them is shuffled later.
+    """
+    own = durable(transmissions.join(ids, "dialog_id", "left_semi"))
+    opened = activities.where(F.col("type_id") == ACTIVITY_TRANSMISSION_OPENED)
+    opened = opened.join(own.select(F.col("id").alias("transmission_id")).distinct(), "transmission_id", "left_semi")
+    read = activities.where(F.col("type_id") == ACTIVITY_CORRESPONDENCE_OPENED).join(ids, "dialog_id", "left_semi")
+    columns = ["type_id", "transmission_id", "dialog_id"]
+    return own, durable(opened.select(*columns).unionAll(read.select(*columns)))
+
+
 def has_unopened_content(dialogs: DataFrame, transmissions: DataFrame, activities: DataFrame) -> DataFrame:
     """Per dialog: is there content nobody opened? Columns dialog_id, has_unopened.
 
@@ -246,13 +261,9 @@ def process_candidates(
     order = [F.col("first_activity_created_at"), F.col("first_activity_id"), F.col("dialog_id")]
     selected = open_ if n is None else first_n(open_, order, n)
     keys = selected.select(*CANDIDATE_KEY)
-    ids = keys.select("dialog_id").distinct()
+    ids = durable(keys.select("dialog_id").distinct())
     chosen = dialogs.join(ids.withColumnRenamed("dialog_id", "id"), "id", "left_semi")
-    now_flags = has_unopened_content(
-        chosen,
-        transmissions.join(ids, "dialog_id", "left_semi"),
-        activities,
-    ).withColumnRenamed("has_unopened", "_computed")
+    now_flags = has_unopened_content(chosen, *_facts_of(ids, transmissions, activities)).withColumnRenamed("has_unopened", "_computed")
     state = chosen.select(F.col("id").alias("dialog_id"), F.col("has_unopened").alias("_flag")).join(
         now_flags, "dialog_id", "left"
     )
@@ -309,8 +320,9 @@ def still_repairable(
     """Processed candidates whose dialog still carries a flag that should be false."""
     processed = candidates.where(F.col("processed_at").isNotNull())
     ids = processed.select(F.col("dialog_id").alias("id")).distinct()
-    flagged = dialogs.where(F.col("has_unopened")).join(ids, "id", "left_semi")
-    wrong = has_unopened_content(flagged, transmissions, activities).where(~F.col("has_unopened"))
+    flagged = durable(dialogs.where(F.col("has_unopened")).join(ids, "id", "left_semi"))
+    own = flagged.select(F.col("id").alias("dialog_id")).distinct()
+    wrong = has_unopened_content(flagged, *_facts_of(own, transmissions, activities)).where(~F.col("has_unopened"))
     return processed.join(wrong.select("dialog_id"), "dialog_id", "left_semi")
 
 

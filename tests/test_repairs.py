@@ -126,6 +126,18 @@ def actor_world(spark):
     return dict(staging=staging, activities=acts, actors=people, actor_names=names)
 
 
+def test_delta_holds_the_changed_rows_alone(spark):
+    target = spark.createDataFrame([(1, True, "a"), (1, False, "b"), (2, True, "c"), (3, None, "d"), (None, True, "e")], "id int, flag boolean, v string")
+    claimed = spark.createDataFrame([(1, 5), (1, 4), (3, 1), (9, 1)], "k int, to int")
+    on, set_, guard = {"id": "k"}, {"v": F.col("c.to").cast("string"), "flag": F.lit(None).cast("boolean")}, F.col("t.flag")
+    assert [tuple(r) for r in harness.update_delta(target, claimed, on, set_, guard).collect()] == [(1, "4", None)]
+    new, touched = harness.apply_update(target, claimed, on, set_, guard)
+    assert sorted(map(str, map(tuple, new.collect()))) == sorted(
+        map(str, [(1, None, "4"), (1, False, "b"), (2, True, "c"), (3, None, "d"), (None, True, "e")])
+    )
+    assert [tuple(r) for r in touched.collect()] == [(1,)]
+
+
 def test_actor_repair_end_to_end_and_again(actor_world):
     done = repair_actors(**actor_world, now=NOW, batch_size=1)
     assert {r["entity_id"]: r["outcome"] for r in done.candidates.collect()} == {"p1": "updated", "p3": "updated"}
