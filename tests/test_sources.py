@@ -137,6 +137,23 @@ def test_run_folder_round_trip_and_its_commit(spark, tmp_path):
     assert not (tmp_path / "run/raw/never").exists() and list((tmp_path / "run/_staging").iterdir()) == []
 
 
+def test_packed_logs_take_no_file_each(spark, tmp_path):
+    root = str(tmp_path / "run")
+    rows = [(f"case_{i % 50}", 1, i, "v" * 90 if i % 3 else "vÅ", json.dumps(PLAN) if i % 4 else "") for i in range(12_000)] + [("case_x", 1, 1, "vB", None)]
+    plans = spark.createDataFrame(rows, "case_id string, pass int, run_index int, variant string, plan string")
+    run_folder.write_plan_logs(plans.coalesce(1), root, packed=True)
+    found = [p for p in (tmp_path / "run").rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert len(found) == 2 and sum(p.stat().st_size for p in found) < 2_000_000 and list((tmp_path / "run/_staging").iterdir()) == []
+    run_folder.write_plan_logs(plans.limit(3).withColumn("case_id", F.lit("file")), root)
+    back = run_folder.read_plan_logs(spark, root)
+    want = [r for r in rows if r[4] is not None] + [("file", *r[1:]) for r in rows[:3]]
+    assert sorted(tuple(r) for r in back.drop("path").collect()) == sorted(want)
+    assert back.select("path").distinct().count() == len(want)
+    with pytest.raises(Exception, match="cannot name a folder"):
+        run_folder.write_plan_logs(plans.withColumn("case_id", F.lit("..")), root, packed=True)
+    assert run_folder.read_plan_logs(spark, root).count() == len(want)
+
+
 def test_tree_is_walked_and_not_searched(spark):
     deep = node = {"Node Type": "Append"}
     for _ in range(12):
