@@ -3,6 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from mendwork.functions import text
 from mendwork.functions.durable import new_stage
 from mendwork.functions.text import build_tokens, text_matches
 from mendwork.operators import search, text_index
@@ -70,3 +71,21 @@ def test_a_hot_token_is_several_files(spark):
     rows = spark.read.parquet(f"{built.path}/postings").where("token = 'hot'").groupBy(F.input_file_name()).count().collect()
     assert len(rows) > 1 and sum(r["count"] for r in rows) == 400 and max(r["count"] for r in rows) < 200
     assert built.matches("hot").count() == 400
+
+
+def test_files_of_one_bucket_hold_a_bounded_number_of_postings(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 20), i -> concat('w', (id * 7 + i * 13) % 97))) AS text")
+    built = text_index.build(docs, new_stage(spark), buckets=1, part_rows=200)
+    rows = spark.read.parquet(f"{built.path}/postings").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in rows) == built.postings().count() > 5000 and max(r["count"] for r in rows) < 600
+    assert sorted(r[0] for r in built.matches("w5 w18").collect()) == sorted(
+        r[0] for r in build_tokens(docs).where(text_matches(F.col("tokens"), "w5 w18")).select("doc_id").collect()
+    )
+
+
+def test_words_are_grouped_where_their_texts_are(spark, docs, monkeypatch):
+    monkeypatch.setattr(text, "DOCS_PER_TASK", 3)
+    plan = plan_of(text_index.postings_of(docs))
+    dealt = re.findall(r"Arguments: hashpartitioning\((.*?)\)", plan)
+    assert len(dealt) == 1 and "doc_id" in dealt[0] and "token" not in dealt[0]
+    assert text_index.postings_of(docs).count() == sum(len(set((t or "").lower().replace(",", "").replace(".", "").replace("!", "").split())) for t in TEXTS)
