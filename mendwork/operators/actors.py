@@ -268,27 +268,21 @@ def classify_staging(
         F.col("created_at").alias("a_created"),
         F.col("type_id").alias("a_type"),
     )
-    rows = staged.join(acts, F.col("dialog_activity_id") == F.col("a_id"), "left")
-    # A row reaches this test only if it matches its activity fully, so disagreement can be read off the
-    # staged rows alone.
-    ambiguous = (
-        _staged_matches(staged)
-        .where(~F.col("_agreed"))
-        .select(
-            F.col("id").alias("dialog_activity_id"),
-            "dialog_id",
-            F.col("created_at").alias("source_ts"),
-            F.col("type_id").alias("_expected"),
-            F.lit(True).alias("_ambiguous"),
-        )
-    )
     performers = _performers(actors).select(
         F.col("activity_id").alias("a_id"), F.col("id").alias("act_id"), F.col("actor_name_entity_id").alias("act_name")
     )
+    acts = acts.where(F.col("a_id").isNotNull()).join(performers, "a_id", "left")
+    # A row reaches this test only if it matches its activity fully, so disagreement can be read off the staged rows
+    # alone. The window and the join find the rows dealt out by activity id, so neither shuffles them again.
+    alike = Window.partitionBy("dialog_activity_id", "dialog_id", "source_ts", "_expected")
+    differ = [F.min(c).over(alike) != F.max(c).over(alike) for c in ("actor_id", "actor_name")]
+    whole = F.col("dialog_id").isNotNull() & F.col("source_ts").isNotNull()
+    staged = staged.repartition("dialog_activity_id").withColumn("_ambiguous", whole & (differ[0] | differ[1]))
+    rows = staged.join(acts, F.col("dialog_activity_id") == F.col("a_id"), "left")
     named = resolution.select(
         "actor_id", F.col("name").alias("actor_name"), F.col("actor_name_entity_id").alias("target")
     )
-    reason = (
+    early = (
         F.when(F.col("a_id").isNull(), F.lit("1_no_matching_activity_id"))
         .when(~F.col("a_created").eqNullSafe(F.col("source_ts")), F.lit("2_timestamp_mismatch"))
         .when(~F.col("a_dialog").eqNullSafe(F.col("dialog_id")), F.lit("3_dialog_id_mismatch"))
@@ -296,14 +290,17 @@ def classify_staging(
         .when(~F.col("a_type").eqNullSafe(F.col("_expected")), F.lit("5_type_mismatch"))
         .when(F.col("_ambiguous"), F.lit("6_ambiguous_multiple_actors"))
         .when(F.col("act_id").isNull(), F.lit("7_no_performed_by_actor"))
+    )
+    # Only what the later reasons need goes on to the actors' names.
+    open_ = rows.select("actor_id", "actor_name", "act_name", "_n", early.alias("_early"))
+    reason = (
+        F.when(F.col("_early").isNotNull(), F.col("_early"))
         .when(F.col("target").isNull(), F.lit("8_actor_unresolved"))
         .when(F.col("act_name").eqNullSafe(F.col("target")), F.lit("9_already_correct"))
         .otherwise(F.lit("0_candidate"))
     )
-    marked = rows.join(ambiguous, ["dialog_activity_id", "dialog_id", "source_ts", "_expected"], "left")
     return (
-        left_join_spread(marked, performers, "a_id")
-        .join(named, ["actor_id", "actor_name"], "left")
+        open_.join(named, ["actor_id", "actor_name"], "left")
         .groupBy(reason.alias("reason"))
         .agg(F.sum("_n").alias("staging_rows"))
         .orderBy("reason")
