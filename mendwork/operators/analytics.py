@@ -553,6 +553,18 @@ def condense_plans(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.when(text != "", out)).where(F.col("line").isNotNull())
 
 
+# Lines that one task searches, about.
+LINES_PER_TASK = 1 << 16
+
+
+def spread_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` dealt out evenly: searching a line takes far longer than reading it, and few tasks may read a short file.
+
+    They are stored, since a search that filters lines would otherwise be done before they are dealt out.
+    """
+    return durable(lines.repartition(max(1, -(-lines.count() // LINES_PER_TASK)), *lines.columns))
+
+
 def plan_names(lines: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
     """Index and table names in order of first appearance: name, first (a sortable position).
 
@@ -629,6 +641,8 @@ def dictionary_encode(lines: DataFrame, order: Sequence[str] = ("line_no",)) ->
     first used wins, then quoted over bare, then the leftmost; codes are not searched again. The dictionary (``kind``,
     ``text``, ``code``) stays a table, whatever its size. ``order`` tells lines apart.
     """
+    # Read three times below, and what made them may be dear.
+    lines = durable(lines)
     ranked = add_position(plan_names(lines, order), [F.col("first")], name="rank")
     names = durable(ranked.select("name", "rank", _letter_code(F.col("rank")).alias("code")))
     term_codes = list(zip(COMMON_TERMS, TERM_CODES))
