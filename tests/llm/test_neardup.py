@@ -100,3 +100,41 @@ def test_hot_group_and_block_edges(spark):
     nodes = neardup._sketches(docs.selectExpr("struct(doc_id as id) as place", "text"), 5).selectExpr("place.id as row", "fp", "keys")
     want = {tuple(r) for r in neardup.candidates(nodes).collect()}
     assert {tuple(r) for r in neardup.candidates(nodes, block=7).collect()} == want
+
+
+def test_the_trie_join_links_what_no_key_does(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(1500)) for _ in range(12)]
+    near = [t.rsplit(" ", 1)[0] + " end" for t in base]
+    assert all(neardup.similar(a, b) for a, b in zip(base, near))
+    monkeypatch.setattr(neardup, "band_keys", lambda hashes: neardup.np.zeros(0, neardup.np.int64))
+    monkeypatch.setattr(neardup, "candidates", lambda nodes, **_: nodes.selectExpr("row AS u", "row AS v", "0L AS bits").limit(0))
+    rows = [(i, t) for i, t in enumerate(base + near)]
+    kept = neardup.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(12))
+
+
+def test_trie_links_connect_all_within_their_bits(spark):
+    rng, prints = random.Random(4), []
+    for _ in range(60):
+        fp = rng.getrandbits(64)
+        prints += [fp, fp] + [fp ^ sum(1 << b for b in rng.sample(range(64), k)) for k in (1, 4, 5, 8)]
+    nodes = [(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in enumerate(prints)]
+    made = neardup.trie_links(spark.createDataFrame(nodes, "row bigint, fp bigint")).collect()
+    assert all((prints[r["u"]] ^ prints[r["v"]]).bit_count() == r["bits"] and r["u"] < r["v"] for r in made)
+
+    def groups(pairs):
+        root = list(range(len(prints)))
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for u, v in pairs:
+            x, y = top(u), top(v)
+            root[max(x, y)] = min(x, y)
+        return [top(i) for i in range(len(prints))]
+
+    near = [(i, j) for i, a in enumerate(prints) for j, b in enumerate(prints[:i]) if (a ^ b).bit_count() <= neardup.TRIE_BITS]
+    assert groups([(r["u"], r["v"]) for r in made]) == groups(near)
