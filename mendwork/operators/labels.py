@@ -28,6 +28,7 @@ from mendwork.constants import (
     Urns,
 )
 from mendwork.functions.columns import Moment, moment, uuid7
+from mendwork.functions.durable import durable
 from mendwork.operators.harness import check
 
 
@@ -43,7 +44,7 @@ def resolve_existing(staging: DataFrame, actor_names: DataFrame) -> DataFrame:
 
     Equal creation times are settled by the larger id.
     """
-    seeds = staging.select("actor_id").distinct()
+    seeds = durable(staging.select("actor_id").distinct())
     newest = (
         actor_names.where(F.col("name").isNotNull())
         .join(seeds, "actor_id")
@@ -142,51 +143,89 @@ def _passes_guard(rows: DataFrame, labels: DataFrame, context: str = "entity_id"
     return rows.join(have, context, "left").where(~F.coalesce(blocked, F.lit(False))).drop("_have")
 
 
+def _bit(label_id: Column) -> Column:
+    """A repairable label as one bit, so that a context's labels are one number; null for any other label."""
+    found = F.when(F.lit(False), F.lit(0))
+    for known in REPAIRABLE_LABELS.values():
+        found = found.when(label_id == known, F.lit(1 << known))
+    return found
+
+
+def _holds(labels: Column, bits: Column) -> Column:
+    return F.coalesce(labels.bitwiseAND(bits) != 0, F.lit(False))
+
+
 def label_candidates(
     staging: DataFrame, contexts: DataFrame, resolution: DataFrame, labels: DataFrame
 ) -> DataFrame:
     """One candidate per (context, label): entity_id, label_id, actor_name_entity_id, source_ts, label_name.
 
-    The newest staged row wins; equal times are settled by the larger ActorName id.
+    The newest staged row wins; equal times are settled by the larger ActorName id. Contexts carry their labels to the
+    dialog, so staged rows are dealt out by dialog once: guard and newest row are decided where they meet their context.
     """
     resolved = resolution.where(F.col("actor_name_entity_id").isNotNull()).select("actor_id", "actor_name_entity_id")
-    rows = (
-        staging.withColumn("label_id", _label_id(F.col("system_label")))
+    have = (
+        labels.select(F.col("context_id").alias("entity_id"), _bit(F.col("label_id")).alias("_bit"))
+        .where(F.col("_bit").isNotNull())
+        .groupBy("entity_id")
+        .agg(F.bit_or("_bit").alias("_have"))
+    )
+    held = contexts.select(F.col("id").alias("entity_id"), "dialog_id").join(have, "entity_id", "left")
+    folders = F.lit(sum(1 << x for x in FOLDER_LABELS))
+    blocked = _holds(F.col("_have"), _bit(F.col("label_id"))) | (
+        F.col("label_id").isin(*FOLDER_LABELS) & _holds(F.col("_have"), folders)
+    )
+    label_name = F.when(F.lit(False), F.lit(""))
+    for name, label_id in REPAIRABLE_LABELS.items():
+        label_name = label_name.when(F.col("label_id") == label_id, F.lit(LABEL_NAME_PREFIX + name))
+    return (
+        staging.select("dialog_id", "source_ts", "actor_id", _label_id(F.col("system_label")).alias("label_id"))
         .where(F.col("label_id").isNotNull())
         .join(resolved, "actor_id")
-        .join(contexts.select(F.col("id").alias("entity_id"), "dialog_id"), "dialog_id")
-        .groupBy("entity_id", "label_id", "system_label")
+        .join(held, "dialog_id")
+        .where(~blocked)
+        # A context has one dialog, so the rows of a group already are in one task.
+        .groupBy("dialog_id", "entity_id", "label_id")
         .agg(F.max(F.struct("source_ts", "actor_name_entity_id")).alias("_newest"))
-    )
-    return _passes_guard(rows, labels).select(
-        "entity_id",
-        "label_id",
-        "_newest.actor_name_entity_id",
-        "_newest.source_ts",
-        F.concat(F.lit(LABEL_NAME_PREFIX), F.col("system_label")).alias("label_name"),
+        .select(
+            "entity_id", "label_id", "_newest.actor_name_entity_id", "_newest.source_ts", label_name.alias("label_name")
+        )
     )
 
 
 def label_left_behind(
     staging: DataFrame, contexts: DataFrame, resolution: DataFrame, candidates: DataFrame
 ) -> DataFrame:
-    """Staged rows that produced no candidate, counted by the first reason that applies."""
-    made = candidates.select("entity_id", "label_name").distinct().withColumn("_made", F.lit(True))
+    """Staged rows that produced no candidate, counted by the first reason that applies.
+
+    Staged rows are dealt out by dialog once. Only those that neither dialog nor label settles are counted by actor,
+    and the counts, not the rows, meet the resolution.
+    """
+    label_id = _label_id(F.substring("label_name", len(LABEL_NAME_PREFIX) + 1, 1 << 30))
+    made = candidates.groupBy("entity_id").agg(F.bit_or(_bit(label_id)).alias("_made"))
+    placed = contexts.select(F.col("id").alias("entity_id"), "dialog_id").join(made, "entity_id", "left")
+    out_of_scope = F.coalesce(~F.col("system_label").isin(*REPAIRABLE_LABELS), F.lit(False))
+    settled = F.when(F.col("entity_id").isNull(), F.lit("no_matching_context")).when(
+        F.col("_out"), F.lit("out_of_scope_label")
+    )
     rows = (
-        staging.groupBy("dialog_id", "actor_id", "system_label")
+        staging.select(
+            "dialog_id",
+            F.when(~out_of_scope, F.col("actor_id")).alias("actor_id"),
+            _label_id(F.col("system_label")).alias("label_id"),
+            out_of_scope.alias("_out"),
+        )
+        .join(placed, "dialog_id", "left")
+        .where(~_holds(F.col("_made"), _bit(F.col("label_id"))))
+        .select(settled.alias("_settled"), "actor_id")
+        .groupBy("_settled", F.when(F.col("_settled").isNull(), F.col("actor_id")).alias("actor_id"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .join(contexts.select(F.col("id").alias("entity_id"), "dialog_id"), "dialog_id", "left")
         .join(resolution.select("actor_id", "actor_name_entity_id"), "actor_id", "left")
-        .withColumn("label_name", F.concat(F.lit(LABEL_NAME_PREFIX), F.col("system_label")))
-        .join(made, ["entity_id", "label_name"], "left")
-        .where(F.col("_made").isNull())
     )
-    reason = (
-        F.when(F.col("entity_id").isNull(), F.lit("no_matching_context"))
-        .when(~F.col("system_label").isin(*REPAIRABLE_LABELS), F.lit("out_of_scope_label"))
-        .when(F.col("actor_name_entity_id").isNull(), F.lit("actor_unresolved"))
-        .otherwise(F.lit("guard_skipped_or_already_set"))
+    by_actor = F.when(F.col("actor_name_entity_id").isNull(), F.lit("actor_unresolved")).otherwise(
+        F.lit("guard_skipped_or_already_set")
     )
+    reason = F.coalesce("_settled", by_actor)
     return rows.groupBy(reason.alias("reason")).agg(F.sum("_n").alias("staging_rows")).orderBy("reason")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mendwork.catalog import views
 from mendwork.catalog.views import VIEWS, Views, small_tasks
-from mendwork.operators import actors, analytics
+from mendwork.operators import actors, analytics, labels
 from tests.test_text_index import plan_of
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +63,56 @@ def test_lines_are_searched_by_many_tasks(spark, monkeypatch):
     files = spread.groupBy(F.input_file_name()).count().collect()
     assert len(files) == 10 and max(r["count"] for r in files) < 200
     assert sorted(spread.collect()) == sorted(lines.collect())
+
+
+def test_staged_labels_are_the_same_from_narrowed_lines(spark):
+    v = Views(spark, SF)
+    plain, narrow = v.sql(VIEWS["staging_label"]), v.sql(VIEWS["staging_label"], "staging_label")
+    assert "AS l_suppkey" in plan_of(narrow) and "AS l_suppkey" not in plan_of(plain)
+    # The temporary views of the tables are replaced by each reading, so the rows are taken one after the other.
+    expected = sorted(map(tuple, v.sql(VIEWS["staging_label"]).collect()))
+    assert sorted(map(tuple, v.sql(VIEWS["staging_label"], "staging_label").collect())) == expected
+
+
+def _label_rows(spark):
+    staging = spark.createDataFrame(
+        [
+            ("d1", "2026-01-01", "known", "Bin"), ("d1", "2026-01-02", "known", "Bin"), ("d1", "2026-01-03", "lost", "Bin"),
+            ("d1", "2026-01-01", "lost", "Archive"), ("d1", "2026-01-01", None, "Archive"), ("d1", "2026-01-01", "lost", "Sent"),
+            ("d1", "2026-01-01", "known", None), ("d1", "2026-01-01", "lost", None), ("d2", "2026-01-01", "known", "Archive"),
+            ("d2", "2026-01-01", "known", "MarkedAsUnopened"), ("d9", "2026-01-01", "known", "Bin"), (None, "2026-01-01", "known", "Sent"),
+        ],
+        "dialog_id string, source_ts string, actor_id string, system_label string",
+    )
+    contexts = spark.createDataFrame([("c1", "d1"), ("c2", "d1"), ("c3", "d2")], "id string, dialog_id string")
+    have = spark.createDataFrame([("c2", 2), ("c2", 1), ("c3", 2), ("c3", 9), ("c3", None)], "context_id string, label_id int")
+    resolution = spark.createDataFrame([("known", "n1"), ("lost", None)], "actor_id string, actor_name_entity_id string")
+    return staging, contexts, resolution, have
+
+
+def test_left_behind_counts_each_staged_row_and_context_once(spark):
+    staging, contexts, resolution, have = _label_rows(spark)
+    made = labels.label_candidates(staging, contexts, resolution, have)
+    assert sorted(map(tuple, made.collect())) == [
+        ("c1", 2, "n1", "2026-01-02", "systemlabel:Bin"), ("c3", 4, "n1", "2026-01-01", "systemlabel:MarkedAsUnopened"),
+    ]
+    left = labels.label_left_behind(staging, contexts, resolution, made)
+    # d1 has two contexts: its Archive and null labels count twice, its Bin rows once, for the context that had one.
+    assert [tuple(r) for r in left.collect()] == [
+        ("actor_unresolved", 7), ("guard_skipped_or_already_set", 5), ("no_matching_context", 2), ("out_of_scope_label", 2),
+    ]
+
+
+def test_staged_labels_are_dealt_out_by_dialog_once(spark):
+    staging, contexts, resolution, have = _label_rows(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = _dealt(labels.label_candidates(staging, contexts, resolution, have))
+        made = spark.createDataFrame([("c1", "systemlabel:Bin")], "entity_id string, label_name string")
+        left = _dealt(labels.label_left_behind(staging, contexts, resolution, made))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Rows and resolution by actor, rows and contexts by dialog, contexts and labels by context.
+    assert len(found) == 6 and len([d for d in found if "dialog_id" in d]) == 2
+    # Rows and contexts by dialog, contexts and made labels by context, the counts and the resolution by actor, the reasons.
+    assert len([d for d in left if "dialog_id" in d]) == 2 and not [d for d in left if "label" in d] and len(left) <= 8
