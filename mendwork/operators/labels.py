@@ -241,18 +241,20 @@ def apply_labels(claimed: DataFrame, labels: DataFrame, logs: DataFrame, actors:
 
     The guard is checked again. If one context has both folder labels claimed, the smaller label id wins and
     the other is skipped, so the result does not depend on how candidates were cut into batches. Each log
-    row gets exactly one actor row. All new rows carry the source timestamp.
+    row gets exactly one actor row. All new rows carry the source timestamp. What is applied is decided once and
+    stored; of the labels, only the Default ones are compared with it.
     """
     is_folder = F.col("label_id").isin(*FOLDER_LABELS)
     one_folder = Window.partitionBy("entity_id", is_folder).orderBy("label_id")
-    eligible = (
+    eligible = durable(
         _passes_guard(claimed, labels)
         .withColumn("_first", F.row_number().over(one_folder) == 1)
         .where(~is_folder | F.col("_first"))
-        .drop("_first")
+        .select("entity_id", "label_id", "actor_name_entity_id", "source_ts", "label_name")
     )
-    dropped = eligible.where(is_folder).select(F.col("entity_id").alias("context_id"), F.lit(LABEL_DEFAULT).alias("label_id"))
-    kept = labels.join(dropped, ["context_id", "label_id"], "left_anti").select(*labels.columns)
+    dropped = eligible.where(is_folder).select(F.col("entity_id").alias("context_id"))
+    is_default = F.coalesce(F.col("label_id") == LABEL_DEFAULT, F.lit(False))
+    kept = labels.where(~is_default).unionByName(labels.where(is_default).join(dropped, "context_id", "left_anti").select(*labels.columns))
     types = {f.name: f.dataType for f in labels.schema.fields}
     added = eligible.select(
         F.col("entity_id").alias("context_id"),

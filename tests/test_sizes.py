@@ -116,3 +116,20 @@ def test_staged_labels_are_dealt_out_by_dialog_once(spark):
     assert len(found) == 6 and len([d for d in found if "dialog_id" in d]) == 2
     # Rows and contexts by dialog, contexts and made labels by context, the counts and the resolution by actor, the reasons.
     assert len([d for d in left if "dialog_id" in d]) == 2 and not [d for d in left if "label" in d] and len(left) <= 8
+
+
+def test_applied_labels_are_decided_once(spark):
+    staging, contexts, resolution, have = _label_rows(spark)
+    have = have.withColumn("created_at", F.lit("2025-01-01"))
+    made = labels.label_candidates(staging, contexts, resolution, have)
+    logs = spark.createDataFrame([], "id string, created_at string, name string, action string, context_id string")
+    people = spark.createDataFrame([], "id string, actor_type_id int, created_at string, updated_at string, discriminator string, actor_name_entity_id string, label_log_id string")
+    given = have.union(spark.createDataFrame([("c1", 1, "2025-01-01"), ("c1", None, "2025-01-01"), (None, 1, "2025-01-01")], have.schema))
+    done = labels.apply_labels(made, given, logs, people)
+    # c1 got a folder label, so its Default goes; those of c2 and of no context stay, as do labels without an id.
+    assert {(r["context_id"], r["label_id"]) for r in done.labels.collect()} == {
+        ("c1", 2), ("c1", None), ("c2", 1), ("c2", 2), ("c3", 2), ("c3", 4), ("c3", 9), ("c3", None), (None, 1),
+    }
+    assert done.labels.count() == 9 and done.logs.count() == done.actors.count() == 2
+    for rows in done:
+        assert "Window" not in plan_of(rows) and "collect_set" not in plan_of(rows)
