@@ -87,10 +87,11 @@ class _Parts(_Kept):
 
 
 class _Words(_Kept):
-    """Ids of words with ``lead`` before them."""
+    """Ids of words with ``lead`` before them, or, with ``starts``, of a line feed and the word that starts a line."""
 
-    def __init__(self, tokenizer, parts: _Parts, lead: str):
+    def __init__(self, tokenizer, parts: _Parts, lead: str, starts: _Words | None = None):
         super().__init__()
+        self._starts = starts
         self._tokenizer, self._parts, self._lead = tokenizer, parts, lead
         self._merge, self._written = tokenizer.model.tokenize, lead.replace(" ", "Ġ")
 
@@ -105,6 +106,8 @@ class _Words(_Kept):
         return super().__missing__(word)
 
     def _ids(self, word: str) -> bytes:
+        if self._starts is not None and word[:1] == "\n":
+            return self._parts["\n"] + (self._starts[word[1:]] if len(word) > 1 else b"")
         whole = self._lead + word
         # Most words are one part, or one and the sign that ends them; such a part is kept as a word of its own.
         if _one_part(word):
@@ -131,13 +134,18 @@ class Encoder:
         by_bytes = isinstance(t.pre_tokenizer, pre_tokenizers.ByteLevel) and not t.pre_tokenizer.add_prefix_space
         self._by_word = by_bytes and t.normalizer is None and isinstance(t.model, models.BPE)
         parts = _Parts(t.model)
-        self._first, self._later = _Words(t, parts, ""), _Words(t, parts, " ")
+        self._first = _Words(t, parts, "")
+        self._later = _Words(t, parts, " ", starts=self._first)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self._by_word or "  " in text or "\n " in text or _UNUSUAL.search(text) or any([name in text for name in self._added]):
+        if not self._by_word or "  " in text or "\n " in text or " \n" in text or _UNUSUAL.search(text) or any([name in text for name in self._added]):
             return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        # A single line feed is a part of its own, so the words beside it are kept like any others; of several in a row, the
+        # last is, and they stay within their word.
+        if "\n" in text and "\n\n" not in text:
+            text = text.replace("\n", " \n")
         first, *later = text.split(" ")
         known = self._later
         head = self._first[first] if first else b""

@@ -36,6 +36,14 @@ def test_common_words_stay_kept(monkeypatch):
     assert asked.count("Ġcommon") == asked.count("Ġwords") == 1 and len(asked) == 1002
 
 
+def test_words_beside_line_feeds_are_kept_apart():
+    encode, t = Encoder(default_tokenizer()), Tokenizer.from_file(default_tokenizer())
+    texts = ["one two.\nThree four\nfive", "\nThree two.\nfive", "one two.\n", "\n", "a\n's b'\nt x\n12\n.é\nÉa", "one\n\nfive\n\n\nsix\nseven\n\n", "a \nb\nc", "\n\n", "a\nb \n"]
+    for text in texts * 2:
+        assert np.frombuffer(encode.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert not [w for w in encode._later if "two.\n" in w] and "Three" in encode._first and "two." in encode._later
+
+
 @pytest.mark.parametrize("unit", ["byte", "bit"])
 @pytest.mark.parametrize("n", [1, 7, 8, 64, 1000])
 def test_planes_round_trip(unit, n):
